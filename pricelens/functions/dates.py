@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 
 def week_start(ts: Column) -> Column:
-    """Monday of the week holding ``ts`` as a DATE."""
-    return F.to_date(F.date_trunc("week", ts))
+    """Monday of the week holding ``ts`` (timestamp or date) as a DATE."""
+    return F.trunc(F.to_date(ts), "week")
 
 
 def as_of_column(as_of) -> Column:

@@ -18,6 +18,29 @@ from pricelens.sources import adapter, pages
 
 
 class Layers:
+    """Layer plans over one table directory.
+
+    ``Layers.of(spark, sf_dir)`` returns the session's shared instance, so
+    the (eager, driver-side) analysis of the layer plans happens once per
+    session and directory; every action still runs the whole plan from the
+    files.  ``Layers.forget()`` drops the instances (e.g. after new files
+    were landed in a directory, since a plan keeps its file listing).
+    """
+
+    _shared: dict[tuple, "Layers"] = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str, cfg: Config = DEFAULT) -> "Layers":
+        key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), cfg)
+        inst = cls._shared.get(key)
+        if inst is None:
+            inst = cls._shared[key] = cls(spark, sf_dir, cfg)
+        return inst
+
+    @classmethod
+    def forget(cls) -> None:
+        cls._shared.clear()
+
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: Config = DEFAULT, as_of=None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
@@ -30,7 +53,8 @@ class Layers:
 
     @cached_property
     def bronze(self) -> DataFrame:
-        return pages.bronze_records(self.records, self.cfg, self.as_of)
+        # records come from one aggregation (unique keys): no page overlap
+        return pages.bronze_records(self.records, self.cfg, self.as_of, dedupe=False)
 
     @cached_property
     def silver(self) -> DataFrame:

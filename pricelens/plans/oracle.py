@@ -65,25 +65,25 @@ def cte(name: str, body: str) -> None:
 # --- records (source adapter) -------------------------------------------
 cte("items", """
   SELECT l_partkey, l_suppkey, CAST(date_trunc('week', l_shipdate) AS DATE) AS week,
-         CAST(l_extendedprice AS DECIMAL(18,2)) AS ext, CAST(l_quantity AS DECIMAL(18,2)) AS qty
+         CAST(FLOOR(l_extendedprice * 100.0e0 + 0.5e0) AS BIGINT) AS cents,
+         CAST(FLOOR(l_quantity + 0.5e0) AS BIGINT) AS qty
   FROM lineitem""")
 cte("parts", f"SELECT p_partkey, {_case('p_type', TYPE_TO_PRODUCT)} AS product FROM part")
-cte("by_supplier", """
-  SELECT product, l_suppkey, week, SUM(ext) AS ext, SUM(qty) AS qty
-  FROM items JOIN parts ON l_partkey = p_partkey
-  GROUP BY product, l_suppkey, week""")
 cte("supplier_region", """
   SELECT s_suppkey, r_regionkey, r_name
   FROM supplier JOIN nation ON s_nationkey = n_nationkey
                 JOIN region ON n_regionkey = r_regionkey""")
-cte("area_agg", f"""
+cte("regional_agg", """
   SELECT product, 'R' || CAST(r_regionkey AS VARCHAR) AS duoarea, r_name AS area_name,
-         CAST(r_regionkey AS INTEGER) AS rk, week, SUM(ext) AS ext, SUM(qty) AS qty
-  FROM by_supplier JOIN supplier_region ON l_suppkey = s_suppkey
-  GROUP BY product, r_regionkey, r_name, week
+         CAST(r_regionkey AS INTEGER) AS rk, week, SUM(cents) AS cents, SUM(qty) AS qty
+  FROM items JOIN parts ON l_partkey = p_partkey
+             JOIN supplier_region ON l_suppkey = s_suppkey
+  GROUP BY product, r_regionkey, r_name, week""")
+cte("area_agg", f"""
+  SELECT product, duoarea, area_name, rk, week, cents, qty FROM regional_agg
   UNION ALL
-  SELECT product, '{NATIONAL_DUOAREA}', '{NATIONAL_AREA_NAME}', -1, week, SUM(ext), SUM(qty)
-  FROM by_supplier GROUP BY product, week""")
+  SELECT product, '{NATIONAL_DUOAREA}', '{NATIONAL_AREA_NAME}', -1, week, SUM(cents), SUM(qty)
+  FROM regional_agg GROUP BY product, week""")
 cte("records", f"""
   SELECT strftime(week, '%Y-%m-%d') AS period, duoarea, area_name AS "area-name", product,
          {NAME} AS "product-name", '{PROCESS_NAME}' AS "process-name",
@@ -91,7 +91,7 @@ cte("records", f"""
          area_name || ' ' || {NAME} || ' Retail Price' AS "series-description",
          CASE WHEN week(week) = 53 THEN NULL
               WHEN rk = 4 AND week(week) = 1 THEN 'n/a'
-              ELSE CAST(CAST({rx("CAST(ext AS DOUBLE) / CAST(qty AS DOUBLE) / 1000.0", 3)}
+              ELSE CAST(CAST({rx("CAST(cents AS DOUBLE) / CAST(qty AS DOUBLE) / 100000.0e0", 3)}
                              AS DECIMAL(10,3)) AS VARCHAR) END AS value,
          '{UNITS}' AS units
   FROM area_agg""")

@@ -38,7 +38,7 @@ TEST_RATE = UI_RATE
 
 def register(name: str):
     def deco(fn: Callable[[Layers], DataFrame]) -> Callable[[Layers], DataFrame]:
-        _REGISTRY[name] = lambda spark, sf_dir: fn(Layers(spark, sf_dir))
+        _REGISTRY[name] = lambda spark, sf_dir: fn(Layers.of(spark, sf_dir))
         return fn
     return deco
 
@@ -67,8 +67,8 @@ def _ingest_profile(lay: Layers) -> DataFrame:
 def _keyed_upsert(lay: Layers) -> DataFrame:
     """A first load, then a re-landing of the newest 7 weeks with revised
     values; per key the later load wins."""
-    first = pg.bronze_records(lay.records, lay.cfg, as_of="2026-01-01")
-    again = pg.bronze_records(lay.records, lay.cfg, as_of="2026-01-08")
+    first = pg.bronze_records(lay.records, lay.cfg, as_of="2026-01-01", dedupe=False)
+    again = pg.bronze_records(lay.records, lay.cfg, as_of="2026-01-08", dedupe=False)
     pdate = F.col("period").try_cast("date")
     newest = first.agg(F.max(pdate)).scalar()
     revised = round_exact(F.col("value").try_cast("double") + F.lit(0.01), 3)

@@ -97,11 +97,14 @@ def page_report(pages: DataFrame) -> DataFrame:
 
 
 def bronze_records(records: DataFrame, cfg: Config = DEFAULT, as_of=None,
-                   source: str | None = None) -> DataFrame:
+                   source: str | None = None, dedupe: bool = True) -> DataFrame:
     """Raw records -> bronze rows: tracked products only, exact copies from
-    overlapping pages removed, load time and source tag added."""
-    loaded = (records.filter(F.col("product").isin(list(cfg.ingest_products)))
-              .dropDuplicates())
+    overlapping pages removed (``dedupe``; a hash aggregation that combines
+    map-side), load time and source tag added.  Records that come from an
+    aggregation instead of pages cannot overlap and skip that shuffle."""
+    loaded = records.filter(F.col("product").isin(list(cfg.ingest_products)))
+    if dedupe:
+        loaded = loaded.dropDuplicates()
     load_time = (F.current_timestamp() if as_of is None
                  else as_of_column(as_of).cast("timestamp"))
     return loaded.withColumns({
