@@ -30,18 +30,23 @@ class Layers:
     _shared: dict[tuple, "Layers"] = {}
 
     @classmethod
-    def of(cls, spark: SparkSession, sf_dir: str, cfg: Config = DEFAULT) -> "Layers":
-        key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), cfg)
+    def of(cls, spark: SparkSession, sf_dir: str, cfg: Config = DEFAULT,
+           products: tuple[str, ...] | None = None) -> "Layers":
+        key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), cfg, products)
         inst = cls._shared.get(key)
         if inst is None:
-            inst = cls._shared[key] = cls(spark, sf_dir, cfg)
+            inst = cls._shared[key] = cls(spark, sf_dir, cfg, products=products)
         return inst
 
     @classmethod
     def forget(cls) -> None:
         cls._shared.clear()
 
-    def __init__(self, spark: SparkSession, sf_dir: str, cfg: Config = DEFAULT, as_of=None):
+    def __init__(self, spark: SparkSession, sf_dir: str, cfg: Config = DEFAULT, as_of=None,
+                 products: tuple[str, ...] | None = None):
+        """``products``: source-side product facet (default: the ingested
+        set); a query that only needs some products reads only those."""
+        self.products = tuple(products) if products is not None else tuple(cfg.ingest_products)
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.cfg = cfg
@@ -49,7 +54,7 @@ class Layers:
 
     @cached_property
     def records(self) -> DataFrame:
-        return adapter.price_records(self.spark, self.sf_dir)
+        return adapter.price_records(self.spark, self.sf_dir, self.products)
 
     @cached_property
     def bronze(self) -> DataFrame:

@@ -304,12 +304,14 @@ def oracle_queries(test_baseline: float, test_rate: float) -> dict[str, str]:
     q["paged_ingest"] = with_chain(
         f"SELECT DISTINCT {rec_cols}, 'price_api_v2' AS _source FROM records "
         f"WHERE product IN {_in(C.INGEST_PRODUCTS)}")
+    # pages carry the requested products only (the source-side facet)
+    asked = f"(SELECT * FROM records WHERE product IN {_in(C.INGEST_PRODUCTS)})"
     q["page_report"] = with_chain(f"""
       SELECT CAST(CEIL(COUNT(*) / {C.PAGE_SIZE}.0) AS BIGINT) AS pages,
              COUNT(*) AS declared_total, COUNT(*) AS records_found,
-             (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM records)) AS distinct_records,
-             COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM records)) AS missing
-      FROM records""")
+             (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM {asked})) AS distinct_records,
+             COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM {asked})) AS missing
+      FROM {asked}""")
     q["ingest_profile"] = with_chain("""
       SELECT "product-name", COUNT(*) AS row_count, MIN(period) AS earliest, MAX(period) AS latest
       FROM bronze GROUP BY "product-name" """)

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.config import DEFAULT_TREND_WEEKS, UI_RATE
+from pricelens.config import DEFAULT, DEFAULT_TREND_WEEKS, UI_RATE
 from pricelens.functions.numeric import round_exact
 from pricelens.operators import forecast as fc
 from pricelens.operators import margins as mg
@@ -36,9 +36,14 @@ TEST_BASELINE = 3.00
 TEST_RATE = UI_RATE
 
 
-def register(name: str):
+def register(name: str, scope: str | None = None):
+    """Register a query; ``scope`` names the product facet it needs
+    ("national", "regional", "forecast"), so the source reads only those."""
     def deco(fn: Callable[[Layers], DataFrame]) -> Callable[[Layers], DataFrame]:
-        _REGISTRY[name] = lambda spark, sf_dir: fn(Layers.of(spark, sf_dir))
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            products = getattr(DEFAULT, f"{scope}_products") if scope else None
+            return fn(Layers.of(spark, sf_dir, DEFAULT, products))
+        _REGISTRY[name] = run
         return fn
     return deco
 
@@ -90,7 +95,7 @@ def _silver_rejects(lay: Layers) -> DataFrame:
     return sv.silver_rejects(lay.bronze, lay.cfg)
 
 
-@register("silver_preview")
+@register("silver_preview", "regional")
 def _silver_preview(lay: Layers) -> DataFrame:
     return rd.silver_preview(lay.silver, lay.cfg)
 
@@ -102,59 +107,59 @@ def _duplicate_keys(lay: Layers) -> DataFrame:
 
 # --- gold series ------------------------------------------------------------
 
-@register("weekly_summary")
+@register("weekly_summary", "national")
 def _weekly(lay: Layers) -> DataFrame:
     return lay.weekly
 
 
-@register("regional_comparison")
+@register("regional_comparison", "regional")
 def _regional(lay: Layers) -> DataFrame:
     return lay.regional
 
 
-@register("weekly_preview")
+@register("weekly_preview", "national")
 def _weekly_preview(lay: Layers) -> DataFrame:
     return rd.weekly_preview(lay.weekly)
 
 
 # --- reads ----------------------------------------------------------------------
 
-@register("snapshot")
+@register("snapshot", "national")
 def _snapshot(lay: Layers) -> DataFrame:
     return rd.snapshot(lay.weekly)
 
 
-@register("snapshot_cards")
+@register("snapshot_cards", "national")
 def _snapshot_cards(lay: Layers) -> DataFrame:
     return rd.snapshot_cards(rd.snapshot(lay.weekly), lay.cfg)
 
 
-@register("trends")
+@register("trends", "national")
 def _trends(lay: Layers) -> DataFrame:
     return rd.trends(lay.weekly, "EPMR", DEFAULT_TREND_WEEKS, lay.cfg)
 
 
-@register("trends_all")
+@register("trends_all", "national")
 def _trends_all(lay: Layers) -> DataFrame:
     return rd.trends_per_product(lay.weekly, DEFAULT_TREND_WEEKS, lay.cfg)
 
 
-@register("products")
+@register("products", "national")
 def _products(lay: Layers) -> DataFrame:
     return rd.products(lay.weekly)
 
 
-@register("regional_latest")
+@register("regional_latest", "regional")
 def _regional_latest(lay: Layers) -> DataFrame:
     return rd.regional_latest(lay.regional, lay.cfg.diesel_product, lay.cfg)
 
 
-@register("regional_latest_global")
+@register("regional_latest_global", "regional")
 def _regional_latest_global(lay: Layers) -> DataFrame:
     return rd.regional_latest_global(lay.regional, lay.cfg.diesel_product)
 
 
-@register("regional_position")
+@register("regional_position", "regional")
 def _regional_position(lay: Layers) -> DataFrame:
     both = [rd.regional_latest(lay.regional, p, lay.cfg) for p in lay.cfg.regional_products]
     return rd.regional_position(both[0].unionByName(both[1]))
@@ -166,22 +171,22 @@ def _margins(lay: Layers) -> DataFrame:
     return mg.delivery_margins(lay.regional, lay.zones, lay.cfg)
 
 
-@register("delivery_margins")
+@register("delivery_margins", "regional")
 def _delivery_margins(lay: Layers) -> DataFrame:
     return mg.margins_by_pct(_margins(lay))
 
 
-@register("margin_status")
+@register("margin_status", "regional")
 def _margin_status(lay: Layers) -> DataFrame:
     return mg.margin_status(_margins(lay)).select("duoarea", "zone_name", "margin_pct", "status")
 
 
-@register("fleet_totals")
+@register("fleet_totals", "regional")
 def _fleet_totals(lay: Layers) -> DataFrame:
     return mg.fleet_totals(mg.margin_status(_margins(lay)))
 
 
-@register("state_rollup")
+@register("state_rollup", "regional")
 def _state_rollup(lay: Layers) -> DataFrame:
     return mg.state_rollup(mg.margin_status(_margins(lay)), mg.state_bridge(lay.zone_states))
 
@@ -199,12 +204,12 @@ def _fleet_parameters(lay: Layers) -> DataFrame:
                         .alias("break_even_rate"))
 
 
-@register("surcharge_point")
+@register("surcharge_point", "regional")
 def _surcharge_point(lay: Layers) -> DataFrame:
     return sc.surcharge_point(_diesel_latest(lay), TEST_BASELINE, TEST_RATE, lay.cfg.fleet)
 
 
-@register("surcharge_scenarios")
+@register("surcharge_scenarios", "regional")
 def _surcharge_scenarios(lay: Layers) -> DataFrame:
     return sc.surcharge_scenarios(_diesel_latest(lay), lay.cfg.fleet)
 
@@ -215,27 +220,27 @@ def _baseline(lay: Layers) -> DataFrame:
     return fc.linear_seasonal_forecast(lay.weekly, lay.cfg)
 
 
-@register("future_weeks")
+@register("future_weeks", "forecast")
 def _future_weeks(lay: Layers) -> DataFrame:
     return fc.future_dates(lay.weekly, lay.cfg)
 
 
-@register("forecast_linear_seasonal")
+@register("forecast_linear_seasonal", "forecast")
 def _forecast_linear(lay: Layers) -> DataFrame:
     return _baseline(lay)
 
 
-@register("forecast_additive")
+@register("forecast_additive", "forecast")
 def _forecast_additive(lay: Layers) -> DataFrame:
     return fc.additive_forecast(lay.weekly, lay.cfg)
 
 
-@register("forecast_future")
+@register("forecast_future", "forecast")
 def _forecast_future(lay: Layers) -> DataFrame:
     return fc.forecast_future(_baseline(lay))
 
 
-@register("forecast_recent")
+@register("forecast_recent", "forecast")
 def _forecast_recent(lay: Layers) -> DataFrame:
     f = _baseline(lay)
     return fc.forecast_recent(f, fc.last_actual_date(f))
@@ -247,17 +252,17 @@ def _diesel_window(lay: Layers) -> DataFrame:
     return fc.forecast_window(f, p, fc.last_actual_date(f, p))
 
 
-@register("forecast_window")
+@register("forecast_window", "forecast")
 def _forecast_window(lay: Layers) -> DataFrame:
     return _diesel_window(lay)
 
 
-@register("forecast_bridge")
+@register("forecast_bridge", "forecast")
 def _forecast_bridge(lay: Layers) -> DataFrame:
     return fc.forecast_bridge(_diesel_window(lay))
 
 
-@register("surcharge_series")
+@register("surcharge_series", "forecast")
 def _surcharge_series(lay: Layers) -> DataFrame:
     return sc.surcharge_series(fc.forecast_bridge(_diesel_window(lay)), TEST_BASELINE, TEST_RATE,
                                lay.cfg.fleet)

@@ -97,8 +97,15 @@ def _map_expr(col: Column, mapping: dict[str, str]) -> Column:
     return expr
 
 
-def price_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All raw price records (every product, regional and national rows)."""
+def price_records(spark: SparkSession, sf_dir: str, products=None) -> DataFrame:
+    """Raw price records, regional and national rows.
+
+    ``products`` is the source-side product facet: only those products are
+    produced (all when None).  It becomes an ``IN`` filter on the part scan,
+    below both joins, so line items of other products are dropped before
+    they are shuffled (Spark's runtime bloom filter carries the part-side
+    filter to the line-item scan when the join is a shuffle join).
+    """
     lineitem, part, supplier, nation, region = _tables(
         spark, sf_dir, "lineitem", "part", "supplier", "nation", "region")
 
@@ -110,8 +117,15 @@ def price_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("l_extendedprice") * F.lit(100.0) + F.lit(0.5)).alias("cents"),
         F.floor(F.col("l_quantity") + F.lit(0.5)).alias("qty"),
     )
+    # The product travels through the shuffles as a small integer code and
+    # becomes text only after the aggregation.
+    codes = list(dict.fromkeys(TYPE_TO_PRODUCT.values()))
+    type_code = {t: str(codes.index(p)) for t, p in TYPE_TO_PRODUCT.items()}
+    if products is not None:
+        part = part.filter(F.col("p_type").isin(
+            [t for t, p in TYPE_TO_PRODUCT.items() if p in set(products)]))
     products = part.select(
-        "p_partkey", _map_expr(F.col("p_type"), TYPE_TO_PRODUCT).alias("product"))
+        "p_partkey", _map_expr(F.col("p_type"), type_code).cast("tinyint").alias("pcode"))
     # nation (25 rows) and region (5 rows) are fixed-size dimension tables.
     supplier_region = (
         supplier.select("s_suppkey", "s_nationkey")
@@ -129,13 +143,14 @@ def price_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = (items.join(products, items.l_partkey == products.p_partkey)
               .join(supplier_region, F.col("l_suppkey") == F.col("s_suppkey")))
     sets = joined.groupingSets(
-        [["product", "r_regionkey", "r_name", "week"], ["product", "week"]],
-        "product", "r_regionkey", "r_name", "week",
+        [["pcode", "r_regionkey", "r_name", "week"], ["pcode", "week"]],
+        "pcode", "r_regionkey", "r_name", "week",
     ).agg(F.sum("cents").alias("cents"), F.sum("qty").alias("qty"),
           F.grouping("r_regionkey").alias("_national"))
     national = F.col("_national") == 1
+    product = F.element_at(F.array(*[F.lit(c) for c in codes]), F.col("pcode").cast("int") + 1)
     return _to_records(sets.select(
-        "product",
+        product.alias("product"),
         F.when(national, F.lit(NATIONAL_DUOAREA))
         .otherwise(F.concat(F.lit("R"), F.col("r_regionkey").cast("string"))).alias("duoarea"),
         F.when(national, F.lit(NATIONAL_AREA_NAME)).otherwise(F.col("r_name")).alias("area_name"),

@@ -66,6 +66,8 @@ def replace_table(df: DataFrame, name: str) -> int:
     rows = write_table(df, staging, evolve=True)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    # same path, new files: drop any cached listing of the old ones
+    spark.catalog.refreshTable(name)
     return rows
 
 

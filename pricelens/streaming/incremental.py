@@ -27,6 +27,7 @@ def merge_into_bronze(batch: DataFrame, table: str, cfg: Config = DEFAULT) -> in
     rows = pg.bronze_records(batch, cfg, dedupe=True)
     if not spark.catalog.tableExists(table):
         return tb.write_table(rows, table, evolve=True)
+    spark.catalog.refreshTable(table)
     merged = tb.keyed_upsert(spark.table(table), rows, RECORD_KEY)
     return tb.replace_table(merged, table)
 
@@ -37,7 +38,9 @@ def stream_pages_to_bronze(spark: SparkSession, landing_dir: str, cfg: Config =
     """Start an ``availableNow`` stream of landed page files into bronze.
 
     Returns the started ``StreamingQuery``; call ``awaitTermination()`` to
-    wait for the files present at start to be merged.
+    wait for the files present at start to be merged.  The table's files are
+    swapped per batch, so a session that read the table before should call
+    ``spark.catalog.refreshTable(table)`` before reading it again.
     """
     table = table or cfg.table("bronze", "fuel_prices_raw")
     tb.ensure_namespaces(spark, cfg)
