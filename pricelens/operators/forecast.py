@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from pricelens.config import CHANGEPOINT_PRIOR, DEFAULT, FORECAST_RECENT_DAYS, FORECAST_WINDOW_DAYS, Config
 from pricelens.functions.dates import as_of_column, future_weeks
-from pricelens.functions.numeric import exact_sum, round_exact
+from pricelens.functions.numeric import round_exact
 
 FORECAST_SCHEMA = T.StructType([
     T.StructField("price_date", T.DateType()),
@@ -61,59 +61,60 @@ def future_dates(weekly: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 
 
 def linear_seasonal_forecast(weekly: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """Trend + week-of-year seasonal baseline forecast, history + horizon."""
+    """Trend + week-of-year seasonal baseline forecast, history + horizon.
+
+    One pass per series: the horizon dates are appended to the history
+    first (they sort after it, so ``row_number`` continues as n+1..n+8), then
+    every statistic is a window aggregate over history values only, all on
+    the one ``product`` partitioning: one shuffle, no joins back.
+    """
     hist = _history(weekly, cfg)
-    w = Window.partitionBy("product").orderBy("price_date")
-    hist = hist.select("*", F.row_number().over(w).alias("t"),
-                       F.weekofyear("price_date").alias("woy"))
+    future = (hist.groupBy("product").agg(F.max("price_date").alias("_last"))
+              .select("product", F.lit(None).cast("string").alias("product_name"),
+                      F.explode(future_weeks(F.col("_last"), cfg.horizon_weeks,
+                                             cfg.forecast_weekday)).alias("price_date"),
+                      F.lit(None).cast("double").alias("y")))
+    rows = hist.unionByName(future)
+    by = Window.partitionBy("product")
+    season = Window.partitionBy("product", "woy")
+    known = F.col("y").isNotNull()
     ydec = F.col("y").try_cast("decimal(24,8)")
-    stats = hist.groupBy("product").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("t").alias("st"),
-        exact_sum("y").alias("sy"),
-        F.sum(F.col("t").cast("long") * F.col("t").cast("long")).alias("stt"),
-        F.sum(F.col("t").cast("decimal(20,0)") * ydec).alias("sty"),
-        F.max("price_date").alias("last_date"),
-        F.min_by("product_name", "price_date").alias("first_name"),
+    tk = F.when(known, F.col("t"))
+    step1 = rows.select("*", F.row_number().over(by.orderBy("price_date")).alias("t"),
+                        F.weekofyear("price_date").alias("woy"))
+    step2 = step1.select(
+        "*",
+        F.count("y").over(by).alias("n"),
+        F.sum(tk).over(by).alias("st"),
+        F.sum(ydec).over(by).alias("sy"),
+        F.sum(tk.cast("long") * tk.cast("long")).over(by).alias("stt"),
+        F.sum(tk.cast("decimal(20,0)") * ydec).over(by).alias("sty"),
+        F.min_by("product_name", F.when(known, F.col("price_date"))).over(by).alias("first_name"),
+        F.count("y").over(season).alias("c"),
+        F.sum(ydec).over(season).alias("syw"),
+        F.sum(tk).over(season).alias("stw"),
     )
     n, st, sy = (F.col(c).cast("double") for c in ("n", "st", "sy"))
     stt, sty = F.col("stt").cast("double"), F.col("sty").cast("double")
     slope = F.coalesce(F.try_divide(n * sty - st * sy, n * stt - st * st), F.lit(0.0))
-    coef = stats.select("product", "n", "last_date", "first_name",
-                        slope.alias("b"), ((sy - slope * st) / n).alias("a"))
-    season = (hist.groupBy("product", "woy")
-              .agg(F.count(F.lit(1)).alias("c"), exact_sum("y").alias("syw"), F.sum("t").alias("stw"))
-              .join(coef.select("product", "a", "b"), "product")
-              .select("product", "woy",
-                      (F.col("syw").cast("double") / F.col("c").cast("double")
-                       - (F.col("a") + F.col("b") * (F.col("stw").cast("double") / F.col("c").cast("double"))))
-                      .alias("adj")))
-    fitted = lambda t: F.col("a") + F.col("b") * t + F.coalesce(F.col("adj"), F.lit(0.0))
-    hist_fit = (hist.join(coef.select("product", "a", "b"), "product")
-                .join(season, ["product", "woy"], "left")
-                .withColumn("fit", fitted(F.col("t").cast("double"))))
-    sigma = hist_fit.groupBy("product").agg(F.stddev_samp(F.col("y") - F.col("fit")).alias("sigma"))
-    future = (coef.select("product", "first_name", "a", "b", "n",
-                          F.posexplode(future_weeks(F.col("last_date"), cfg.horizon_weeks,
-                                                    cfg.forecast_weekday)).alias("k", "price_date"))
-              .withColumn("woy", F.weekofyear("price_date"))
-              .join(season, ["product", "woy"], "left")
-              .withColumn("fit", fitted((F.col("n") + F.col("k") + 1).cast("double"))))
-    names = coef.select("product", "first_name")
-    hist_rows = hist_fit.join(names, "product").select(
-        "product", "first_name", "price_date", "fit", F.col("y").alias("actual_price"))
-    fut_rows = future.select("product", "first_name", "price_date", "fit",
-                             F.lit(None).cast("double").alias("actual_price"))
-    both = hist_rows.unionByName(fut_rows).join(sigma, "product")
+    step3 = step2.select("*", slope.alias("b")).select(
+        "*", ((sy - F.col("b") * st) / n).alias("a"))
+    c = F.col("c").cast("double")
+    adj = F.try_divide(F.col("syw").cast("double"), c) - (
+        F.col("a") + F.col("b") * F.try_divide(F.col("stw").cast("double"), c))
+    step4 = step3.select(
+        "*", (F.col("a") + F.col("b") * F.col("t").cast("double")
+              + F.coalesce(adj, F.lit(0.0))).alias("fit"))
+    sigma = F.stddev_samp(F.col("y") - F.col("fit")).over(by)
     z = F.lit(Z80)
-    return both.select(
+    return step4.select("*", sigma.alias("sigma")).select(
         "price_date",
         round_exact("fit", 6).alias("forecast_price"),
         round_exact(F.col("fit") - z * F.col("sigma"), 6).alias("forecast_lower"),
         round_exact(F.col("fit") + z * F.col("sigma"), 6).alias("forecast_upper"),
-        "actual_price", "product",
+        F.col("y").alias("actual_price"), "product",
         F.col("first_name").alias("product_name"),
-        F.col("actual_price").isNull().alias("is_forecast"),
+        F.col("y").isNull().alias("is_forecast"),
     )
 
 
@@ -239,11 +240,24 @@ def last_actual_date(forecast: DataFrame, product: str | None = None):
     return rows.agg(F.max("price_date")).scalar()
 
 
+LATEST_ACTUAL = "latest_actual"
+
+
 def forecast_window(forecast: DataFrame, product: str, as_of=None,
                     days: int = FORECAST_WINDOW_DAYS) -> DataFrame:
-    """B-15: one product from ``days`` before ``as_of`` (default today)."""
-    lower = F.date_sub(as_of_column(as_of), days)
-    return (forecast.filter((F.col("product") == product) & (F.col("price_date") >= lower))
+    """B-15: one product from ``days`` before ``as_of`` (default today).
+
+    ``as_of="latest_actual"`` anchors the window at the series' own newest
+    actual date (a window maximum over the series, no second pass)."""
+    one = forecast.filter(F.col("product") == product)
+    if isinstance(as_of, str) and as_of == LATEST_ACTUAL:
+        one = one.withColumn("_anchor", F.max(
+            F.when(F.col("actual_price").isNotNull(), F.col("price_date"))).over(
+            Window.partitionBy("product")))
+        anchor = F.col("_anchor")
+    else:
+        anchor = as_of_column(as_of)
+    return (one.filter(F.col("price_date") >= F.date_sub(anchor, days))
             .select("price_date", "actual_price", "forecast_price", "forecast_lower",
                     "forecast_upper", "is_forecast", "product_name", "product")
             .orderBy("price_date"))

@@ -73,12 +73,12 @@ def _keyed_upsert(lay: Layers) -> DataFrame:
     """A first load, then a re-landing of the newest 7 weeks with revised
     values; per key the later load wins."""
     first = pg.bronze_records(lay.records, lay.cfg, as_of="2026-01-01", dedupe=False)
-    again = pg.bronze_records(lay.records, lay.cfg, as_of="2026-01-08", dedupe=False)
     pdate = F.col("period").try_cast("date")
     newest = first.agg(F.max(pdate)).scalar()
     revised = round_exact(F.col("value").try_cast("double") + F.lit(0.01), 3)
-    updates = (again.filter(pdate >= F.date_sub(newest, 42))
-               .withColumn("value", revised.cast("decimal(10,3)").cast("string")))
+    updates = (first.filter(pdate >= F.date_sub(newest, 42))
+               .withColumns({"value": revised.cast("decimal(10,3)").cast("string"),
+                             "_ingested_at": F.lit("2026-01-08 00:00:00").cast("timestamp")}))
     merged = tb.keyed_upsert(first, updates, UPSERT_KEYS)
     return merged.withColumn("_ingested_at", F.col("_ingested_at").cast("string"))
 
@@ -247,9 +247,7 @@ def _forecast_recent(lay: Layers) -> DataFrame:
 
 
 def _diesel_window(lay: Layers) -> DataFrame:
-    f = _baseline(lay)
-    p = lay.cfg.diesel_product
-    return fc.forecast_window(f, p, fc.last_actual_date(f, p))
+    return fc.forecast_window(_baseline(lay), lay.cfg.diesel_product, fc.LATEST_ACTUAL)
 
 
 @register("forecast_window", "forecast")
