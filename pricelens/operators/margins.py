@@ -91,9 +91,21 @@ def status_column(pct) -> F.Column:
             .otherwise(F.lit("critical")))
 
 
+def marker_radius(deliveries) -> F.Column:
+    """F-15: map marker radius, sqrt(deliveries / 15), at least 4."""
+    d = F.col(deliveries) if isinstance(deliveries, str) else deliveries
+    return F.greatest(F.lit(4.0), F.sqrt(d / F.lit(15)))
+
+
 def margin_status(margins: DataFrame) -> DataFrame:
-    """Margins with their status label."""
-    return margins.withColumn("status", status_column("margin_pct"))
+    """Margins with their status label and marker radius."""
+    return margins.withColumns({"status": status_column("margin_pct"),
+                                "marker_radius": marker_radius("deliveries_per_week")})
+
+
+def zone_detail(margins: DataFrame, code: str) -> DataFrame:
+    """P-21: one zone by its code (detail panel)."""
+    return margins.filter(F.col("duoarea") == code)
 
 
 def fleet_totals(with_status: DataFrame) -> DataFrame:

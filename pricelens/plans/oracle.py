@@ -384,7 +384,10 @@ def oracle_queries(test_baseline: float, test_rate: float) -> dict[str, str]:
              MAX(price_per_gallon) {w} * 1.02e0 AS axis_max
       FROM ({both}) l""")
     q["delivery_margins"] = with_chain("SELECT * FROM margins")
-    q["margin_status"] = with_chain("SELECT duoarea, zone_name, margin_pct, status FROM margin_st")
+    q["margin_status"] = with_chain("""
+      SELECT duoarea, zone_name, margin_pct, status,
+             GREATEST(4.0e0, SQRT(deliveries_per_week / 15)) AS marker_radius
+      FROM margin_st""")
     q["fleet_totals"] = with_chain("""
       SELECT SUM(weekly_fuel_cost) AS total_weekly_fuel_cost,
              SUM(weekly_margin) AS total_weekly_margin, COUNT(*) AS zone_count,

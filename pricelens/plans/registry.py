@@ -178,7 +178,8 @@ def _delivery_margins(lay: Layers) -> DataFrame:
 
 @register("margin_status", "regional")
 def _margin_status(lay: Layers) -> DataFrame:
-    return mg.margin_status(_margins(lay)).select("duoarea", "zone_name", "margin_pct", "status")
+    return mg.margin_status(_margins(lay)).select("duoarea", "zone_name", "margin_pct", "status",
+                                                  "marker_radius")
 
 
 @register("fleet_totals", "regional")

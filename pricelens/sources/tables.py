@@ -71,6 +71,39 @@ def replace_table(df: DataFrame, name: str) -> int:
     return rows
 
 
+def merge_partitions(updates: DataFrame, table: str, keys: list[str], partition_col: str,
+                     order_col: str = "_ingested_at") -> int:
+    """Keyed upsert of ``updates`` into a table partitioned by
+    ``partition_col``, rewriting only the partitions the updates touch.
+
+    The touched partitions are read (a semi join on the partition column,
+    pruned to those partitions), merged with ``keyed_upsert`` and written to
+    a staging table; the staging rows then replace exactly those partitions
+    (dynamic partition overwrite).  Untouched partitions are never read or
+    written, so the cost follows the batch, not the table.
+    """
+    spark = updates.sparkSession
+    if not spark.catalog.tableExists(table):
+        return write_table(updates, table, evolve=True, partition_by=[partition_col])
+    spark.catalog.refreshTable(table)
+    current = spark.table(table)
+    touched = updates.select(partition_col).distinct()
+    affected = current.join(touched, partition_col, "left_semi")
+    merged = keyed_upsert(affected, updates.select(*current.columns), keys, order_col)
+    staging = f"{table}__merge"
+    spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    rows = write_table(merged, staging, evolve=True)
+    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        spark.table(staging).select(*current.columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    spark.catalog.refreshTable(table)
+    return rows
+
+
 def keyed_upsert(current: DataFrame, updates: DataFrame, keys: list[str],
                  order_col: str = "_ingested_at") -> DataFrame:
     """Merge ``updates`` into ``current``: per key the row with the greatest

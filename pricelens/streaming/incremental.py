@@ -22,14 +22,10 @@ RECORD_KEY = ["period", "product", "duoarea", "series"]
 
 
 def merge_into_bronze(batch: DataFrame, table: str, cfg: Config = DEFAULT) -> int:
-    """Merge one batch of raw records into ``table`` (created if missing)."""
-    spark = batch.sparkSession
+    """Merge one batch of raw records into ``table`` (created if missing,
+    partitioned by period); only the periods in the batch are rewritten."""
     rows = pg.bronze_records(batch, cfg, dedupe=True)
-    if not spark.catalog.tableExists(table):
-        return tb.write_table(rows, table, evolve=True)
-    spark.catalog.refreshTable(table)
-    merged = tb.keyed_upsert(spark.table(table), rows, RECORD_KEY)
-    return tb.replace_table(merged, table)
+    return tb.merge_partitions(rows, table, RECORD_KEY, partition_col="period")
 
 
 def stream_pages_to_bronze(spark: SparkSession, landing_dir: str, cfg: Config = DEFAULT,
