@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from pricelens.config import DEFAULT, Config
-from pricelens.operators import series, silver
+from pricelens.operators import margins, series, silver
 from pricelens.sources import adapter, pages
 
 
@@ -80,3 +80,8 @@ class Layers:
     @cached_property
     def zone_states(self) -> DataFrame:
         return adapter.zone_states(self.spark, self.sf_dir)
+
+    @cached_property
+    def margins(self) -> DataFrame:
+        # built once per session: its broadcast size check is an eager job
+        return margins.delivery_margins(self.regional, self.zones, self.cfg)

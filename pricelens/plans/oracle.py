@@ -429,4 +429,15 @@ def oracle_queries(test_baseline: float, test_rate: float) -> dict[str, str]:
              is_forecast
       FROM (SELECT *, COALESCE(NULLIF(actual_price, 0), NULLIF(forecast_price, 0)) AS price FROM fbridge)
       WHERE price_date IS NOT NULL AND price IS NOT NULL""")
+    q["data_through"] = with_chain("SELECT MAX(price_date) AS data_through FROM weekly")
+    gabove = "(CASE WHEN price IS NULL THEN NULL ELSE GREATEST(0.0e0, price - b) END)"
+    q["surcharge_series_grid"] = with_chain(f"""
+      SELECT product, price_date, b AS baseline_fuel_price, r AS surcharge_rate,
+             {js_round(f"{gabove} * {gal} * {dl}")} AS extra_fuel_cost,
+             {js_round(f"{gabove} / {_f(C.SURCHARGE_STEP)} * r * {dl}")} AS surcharge_revenue,
+             is_forecast
+      FROM (SELECT *, COALESCE(NULLIF(actual_price, 0), NULLIF(forecast_price, 0)) AS price FROM fbridge) s,
+           (SELECT CAST(i AS DOUBLE) / 100.0e0 AS b FROM generate_series({lo_b}, {hi_b}, {st_b}) g(i)) gb,
+           (SELECT CAST(i AS DOUBLE) / 100.0e0 AS r FROM generate_series({lo_r}, {hi_r}, {st_r}) g(i)) gr
+      WHERE price_date IS NOT NULL AND price IS NOT NULL""")
     return q

@@ -144,6 +144,11 @@ def _trends_all(lay: Layers) -> DataFrame:
     return rd.trends_per_product(lay.weekly, DEFAULT_TREND_WEEKS, lay.cfg)
 
 
+@register("data_through", "national")
+def _data_through(lay: Layers) -> DataFrame:
+    return rd.data_through(lay.weekly)
+
+
 @register("products", "national")
 def _products(lay: Layers) -> DataFrame:
     return rd.products(lay.weekly)
@@ -168,7 +173,7 @@ def _regional_position(lay: Layers) -> DataFrame:
 # --- margins ------------------------------------------------------------------
 
 def _margins(lay: Layers) -> DataFrame:
-    return mg.delivery_margins(lay.regional, lay.zones, lay.cfg)
+    return lay.margins
 
 
 @register("delivery_margins", "regional")
@@ -267,5 +272,10 @@ def _surcharge_series(lay: Layers) -> DataFrame:
                                lay.cfg.fleet)
 
 
+@register("surcharge_series_grid", "forecast")
+def _surcharge_series_grid(lay: Layers) -> DataFrame:
+    return sc.surcharge_series_grid(fc.forecast_bridge(_diesel_window(lay)), lay.cfg.fleet)
+
+
 def all_queries() -> dict[str, Query]:
     return dict(_REGISTRY)

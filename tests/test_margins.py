@@ -68,13 +68,15 @@ def test_missing_padd_region_is_an_error(spark):
 
 def test_fleet_totals_and_state_rollup(spark):
     ms = spark.createDataFrame([
-        ("Z1", "a", 30.0, 100.0, 10.0, 4.0),
-        ("Z2", "b", 10.0, 200.0, 20.0, 4.0),
-        ("Z3", "c", 4.0, 300.0, 30.0, 4.0),
-        ("Z4", "d", 10.0, 400.0, 40.0, 4.0),
+        ("Z1", "a", 30.0, 100.0, 10.0, 4.0, 15),
+        ("Z2", "b", 10.0, 200.0, 20.0, 4.0, 600),
+        ("Z3", "c", 4.0, 300.0, 30.0, 4.0, 240),
+        ("Z4", "d", 10.0, 400.0, 40.0, 4.0, 0),
     ], "duoarea string, zone_name string, margin_pct double, weekly_fuel_cost double, "
-       "weekly_margin double, diesel_price double")
+       "weekly_margin double, diesel_price double, deliveries_per_week int")
     st = mg.margin_status(ms)
+    radius = {r.duoarea: r.marker_radius for r in st.collect()}
+    assert radius == {"Z1": 4.0, "Z2": (600 / 15) ** 0.5, "Z3": 4.0, "Z4": 4.0}
     tot = mg.fleet_totals(st).first()
     assert (tot.total_weekly_fuel_cost, tot.total_weekly_margin, tot.zone_count, tot.zones_at_risk) == (
         1000.0, 100.0, 4, 3)
