@@ -124,14 +124,17 @@ def state_bridge(zone_states: DataFrame) -> DataFrame:
     return zone_states.select("duoarea", F.explode("states").alias("state"))
 
 
-def state_rollup(with_status: DataFrame, bridge: DataFrame) -> DataFrame:
+def state_rollup(with_status: DataFrame, bridge: DataFrame,
+                 max_broadcast_rows: int = DEFAULT.broadcast_max_rows) -> DataFrame:
     """B-22: the worst zone (lowest margin %, then zone code) of each state.
 
     A ``min(struct)`` hash aggregation per state: partial aggregates are
     formed map-side, so a state holding a large share of all zones is
-    reduced before the shuffle (no window over a hot state partition)."""
+    reduced before the shuffle (no window over a hot state partition).  A
+    small bridge (a lookup of a few zones) is broadcast after a size check;
+    a zone-sized one is joined by a shuffle on the zone code."""
     cols = ["duoarea", "zone_name", "margin_pct", "status", "weekly_margin", "diesel_price"]
-    joined = bridge.join(with_status.select(*cols), "duoarea")
+    joined = checked_broadcast(bridge, max_broadcast_rows).join(with_status.select(*cols), "duoarea")
     ranked = F.struct(F.coalesce(F.col("margin_pct"), F.lit(0.0)).alias("_k"),
                       *[F.col(c) for c in cols])
     return (joined.groupBy("state").agg(F.min(ranked).alias("w"))
