@@ -15,6 +15,7 @@ from pricelens.config import (
 )
 from pricelens.functions.numeric import round_exact
 from pricelens.operators.series import latest
+from pricelens.session import checkpoint_dir
 from pricelens.sources.tables import require_zone_columns
 
 MARGIN_COLUMNS = (
@@ -27,15 +28,29 @@ MARGIN_COLUMNS = (
 
 
 def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
+    """Broadcast a *narrow* plan ``df`` only if it has at most ``max_rows`` rows.
 
-    One small job counts at most ``max_rows + 1`` rows; beyond the bound the
-    side is left to the planner (shuffle join, or AQE's runtime choice).
+    The check counts at most ``max_rows + 1`` rows; over a scan-derived
+    plan the limit stops reading early, so a large side costs a few splits,
+    not a pass.  Beyond the bound the side is left to the planner.
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
+def materialized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast the result of a *wide* plan (aggregations, windows) after a
+    size check, computing it once.
+
+    The plan is checkpointed into the shared ``spark.checkpoint.dir`` (a
+    reliable checkpoint, so it also cuts the lineage), counted from the
+    written rows, and broadcast only within the bound.
+    """
+    checkpoint_dir(df.sparkSession)
+    done = df.checkpoint(eager=True)
+    return F.broadcast(done) if done.count() <= max_rows else done
+
+
 def latest_prices(regional: DataFrame, product: str) -> DataFrame:
     """Rows of ``product`` at its latest date over all areas."""
     one = regional.filter(F.col("product") == product)
@@ -49,12 +64,13 @@ def delivery_margins(regional: DataFrame, zones: DataFrame, cfg: Config = DEFAUL
     Zones whose region has no price drop (inner join); duplicate prices fan
     out.  Every output is rounded once from unrounded inputs; the fuel cost
     per delivery is named once and reused.  The price side is one date of
-    one product (bounded by the number of areas) and is broadcast after a
-    size check, so the zone table is never shuffled for this join.
+    one product (bounded by the number of areas): it is computed once,
+    checkpointed, size-checked and broadcast, so the zone table is never
+    shuffled for this join and the upstream is not recomputed for the check.
     """
     zones = require_zone_columns(zones)
-    prices = checked_broadcast(latest_prices(regional, product or cfg.diesel_product),
-                               cfg.broadcast_max_rows)
+    prices = materialized_broadcast(latest_prices(regional, product or cfg.diesel_product),
+                                    cfg.broadcast_max_rows)
     joined = zones.join(prices.withColumnRenamed("duoarea", "_price_area"),
                         F.col("padd_region") == F.col("_price_area"), "inner")
     fuel = (F.col("avg_miles_per_delivery") / F.col("fleet_mpg")) * F.col("price_per_gallon")

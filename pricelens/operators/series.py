@@ -65,12 +65,31 @@ def latest(df: DataFrame, scope: Sequence[str] = (), order: str = "price_date")
     return df.join(maxima, cond, "left_semi")
 
 
-def weekly_summary(silver: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+# Rows one output row of the weekly summary can look back over (12-row mean).
+WEEKLY_LOOKBACK = 12
+
+
+def newest_rows(df: DataFrame, keys: Sequence[str], n: int, order: str = "price_date") -> DataFrame:
+    """Every row of the newest ``n`` dates of each series.  ``dense_rank``
+    keeps rows that share a date (nothing is dropped); ``<= n`` is planned as
+    a partial + final WindowGroupLimit, so each task cuts before the shuffle."""
+    w = Window.partitionBy(*keys).orderBy(F.desc(order))
+    return df.withColumn("_rk", F.dense_rank().over(w)).filter(F.col("_rk") <= n).drop("_rk")
+
+
+def weekly_summary(silver: DataFrame, cfg: Config = DEFAULT, newest: int | None = None) -> DataFrame:
     """B-04: national series of the tracked products with week-over-week,
-    4-row and 12-row trailing means and the 4-rows-back change."""
+    4-row and 12-row trailing means and the 4-rows-back change.
+
+    ``newest``: compute only the newest ``newest`` dates of each series.  The
+    windows then see the newest ``newest + 11`` dates (at least that many
+    rows), which is exact for the kept rows (a 12-row mean looks back 11
+    rows) and spares the history when only the latest week is read."""
     keys = ["product"]
     national = (silver.filter(F.col("area_name") == cfg.national_area)
                 .filter(F.col("product").isin(list(cfg.national_products))))
+    if newest is not None:
+        national = newest_rows(national, keys, newest + WEEKLY_LOOKBACK - 1)
     p = F.col("price_per_gallon")
     prev = lag_value("price_per_gallon", keys, 1)
     back4 = lag_value("price_per_gallon", keys, 4)
@@ -81,6 +100,8 @@ def weekly_summary(silver: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
         trailing_mean("price_per_gallon", keys, 12).alias("_avg12"),
         back4.alias("price_4wk_ago"),
     )
+    if newest is not None:
+        with_windows = newest_rows(with_windows, keys, newest)
     prev_c, back4_c = F.col("prev_week_price"), F.col("price_4wk_ago")
     return with_windows.select(
         "price_date", "product", "product_name", "product_category", "price_per_gallon",

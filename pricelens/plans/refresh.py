@@ -62,18 +62,24 @@ class RefreshInputs:
 
 
 def refresh_all(spark: SparkSession, inputs: RefreshInputs, cfg: Config = DEFAULT,
-                as_of=None, model: str = "additive") -> dict[str, int]:
+                as_of=None, model: str = "additive", check_pages: bool = True) -> dict[str, int]:
     """Run bronze -> silver -> gold -> forecast -> zones/config -> view.
 
     Returns the row count of every written table (observed during the
     write).  ``model`` picks the forecast: ``additive`` or ``linear_seasonal``.
+    With ``check_pages`` a page set holding fewer records than it declares
+    stops the run before anything is written.  Silver is partitioned by
+    product, so product filters of later reads prune files.
     """
     tb.ensure_namespaces(spark, cfg)
     counts: dict[str, int] = {}
     t = cfg.table
 
     if inputs.pages_path is not None:
-        raw = pg.flatten_pages(pg.read_pages(spark, inputs.pages_path))
+        landed = pg.read_pages(spark, inputs.pages_path)
+        if check_pages:
+            pg.require_complete(landed)
+        raw = pg.flatten_pages(landed)
         bronze = pg.bronze_records(raw, cfg, as_of, dedupe=True)
     elif inputs.records is not None:
         bronze = pg.bronze_records(inputs.records, cfg, as_of, dedupe=True)
@@ -82,7 +88,8 @@ def refresh_all(spark: SparkSession, inputs: RefreshInputs, cfg: Config = DEFAUL
     counts["bronze"] = tb.write_table(bronze, t("bronze", "fuel_prices_raw"), evolve=True)
 
     slv = silver.silver_prices(spark.table(t("bronze", "fuel_prices_raw")), cfg)
-    counts["silver"] = tb.write_table(slv, t("silver", "fuel_prices"), evolve=True)
+    counts["silver"] = tb.write_table(slv, t("silver", "fuel_prices"), evolve=True,
+                                      partition_by=["product"])
 
     src = spark.table(t("silver", "fuel_prices"))
     counts["weekly"] = tb.write_table(series.weekly_summary(src, cfg),

@@ -126,12 +126,13 @@ def _weekly_preview(lay: Layers) -> DataFrame:
 
 @register("snapshot", "national")
 def _snapshot(lay: Layers) -> DataFrame:
-    return rd.snapshot(lay.weekly)
+    # the table-wide latest date is among the newest rows of the series
+    return rd.snapshot(lay.weekly_newest)
 
 
 @register("snapshot_cards", "national")
 def _snapshot_cards(lay: Layers) -> DataFrame:
-    return rd.snapshot_cards(rd.snapshot(lay.weekly), lay.cfg)
+    return rd.snapshot_cards(rd.snapshot(lay.weekly_newest), lay.cfg)
 
 
 @register("trends", "national")

@@ -96,6 +96,16 @@ def page_report(pages: DataFrame) -> DataFrame:
              (F.col("declared_total") - distinct).alias("missing"))
 
 
+def require_complete(pages: DataFrame) -> dict:
+    """Fail when the pages hold fewer distinct records than they declare
+    (a lost or short page), instead of loading a silent subset.  Returns
+    the one-row page report as a dict."""
+    report = page_report(pages).first().asDict()
+    if report["missing"] is None or report["missing"] > 0:
+        raise ValueError(f"incomplete page set: {report}")
+    return report
+
+
 def bronze_records(records: DataFrame, cfg: Config = DEFAULT, as_of=None,
                    source: str | None = None, dedupe: bool = True) -> DataFrame:
     """Raw records -> bronze rows: tracked products only, exact copies from

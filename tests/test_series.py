@@ -99,3 +99,15 @@ def test_weekly_plan_has_one_exchange_and_one_window(spark):
     physical = df._jdf.queryExecution().sparkPlan().toString()
     assert physical.count("Window ") == 1
     assert F is not None
+
+
+def test_newest_cut_equals_full_history_on_the_newest_week(spark):
+    prices = [round(1.0 + 0.01 * i + (0.3 if i % 5 == 0 else 0), 3) for i in range(40)]
+    rows = silver_rows("EPMR", prices) + silver_rows("EPM0", prices[:30])
+    df = silver_df(spark, rows)
+    full = weekly_summary(df)
+    cut = weekly_summary(df, newest=1)
+    newest = latest(full, ["product"])
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, newest.collect()))
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
