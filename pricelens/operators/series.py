@@ -115,13 +115,23 @@ def weekly_summary(silver: DataFrame, cfg: Config = DEFAULT, newest: int | None
     )
 
 
-def regional_comparison(silver: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+def regional_comparison(silver: DataFrame, cfg: Config = DEFAULT,
+                        newest: int | None = None) -> DataFrame:
     """B-05: every area (national row included) of the regional products,
-    with the previous week per (product, area)."""
+    with the previous week per (product, area).
+
+    ``newest``: only the newest ``newest`` dates of each (product, area)
+    series, computed from the newest ``newest + 1`` dates (one row of
+    lookback): what reads of the latest week need."""
     keys = ["product", "duoarea"]
     regional = silver.filter(F.col("product").isin(list(cfg.regional_products)))
+    if newest is not None:
+        regional = newest_rows(regional, keys, newest + 1)
     prev = lag_value("price_per_gallon", keys, 1)
-    return regional.select(
+    out = regional.select(
         "price_date", "product", "product_name", "product_category", "duoarea",
         "area_name", "price_per_gallon", prev.alias("prev_week_price"),
-    ).withColumn("wow_change", round_exact(F.col("price_per_gallon") - F.col("prev_week_price"), 4))
+    )
+    if newest is not None:
+        out = newest_rows(out, keys, newest)
+    return out.withColumn("wow_change", round_exact(F.col("price_per_gallon") - F.col("prev_week_price"), 4))

@@ -84,10 +84,16 @@ class Layers:
     @cached_property
     def margins(self) -> DataFrame:
         # built once per session: its broadcast size check is an eager job
-        return margins.delivery_margins(self.regional, self.zones, self.cfg)
+        return margins.delivery_margins(self.regional_newest, self.zones, self.cfg)
 
     @cached_property
     def weekly_newest(self) -> DataFrame:
         """The weekly summary of the newest week of each series only (the
         windows run over 12 rows per series, not the whole history)."""
         return series.weekly_summary(self.silver, self.cfg, newest=1)
+
+    @cached_property
+    def regional_newest(self) -> DataFrame:
+        """Regional rows of the newest date of each (product, area) series;
+        every "latest" read (per product or table-wide) lies within them."""
+        return series.regional_comparison(self.silver, self.cfg, newest=1)

@@ -157,17 +157,17 @@ def _products(lay: Layers) -> DataFrame:
 
 @register("regional_latest", "regional")
 def _regional_latest(lay: Layers) -> DataFrame:
-    return rd.regional_latest(lay.regional, lay.cfg.diesel_product, lay.cfg)
+    return rd.regional_latest(lay.regional_newest, lay.cfg.diesel_product, lay.cfg)
 
 
 @register("regional_latest_global", "regional")
 def _regional_latest_global(lay: Layers) -> DataFrame:
-    return rd.regional_latest_global(lay.regional, lay.cfg.diesel_product)
+    return rd.regional_latest_global(lay.regional_newest, lay.cfg.diesel_product)
 
 
 @register("regional_position", "regional")
 def _regional_position(lay: Layers) -> DataFrame:
-    both = [rd.regional_latest(lay.regional, p, lay.cfg) for p in lay.cfg.regional_products]
+    both = [rd.regional_latest(lay.regional_newest, p, lay.cfg) for p in lay.cfg.regional_products]
     return rd.regional_position(both[0].unionByName(both[1]))
 
 
@@ -201,7 +201,7 @@ def _state_rollup(lay: Layers) -> DataFrame:
 # --- surcharge ------------------------------------------------------------------
 
 def _diesel_latest(lay: Layers) -> DataFrame:
-    return rd.regional_latest(lay.regional, lay.cfg.diesel_product, lay.cfg)
+    return rd.regional_latest(lay.regional_newest, lay.cfg.diesel_product, lay.cfg)
 
 
 @register("fleet_parameters")

@@ -111,3 +111,12 @@ def test_newest_cut_equals_full_history_on_the_newest_week(spark):
     assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, newest.collect()))
     plan = cut._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_regional_newest_cut_keeps_every_latest_read(spark):
+    rows = (silver_rows("EPD2DXL0", [3.0, 3.1, 3.3, 3.2]) + silver_rows("EPD2DXL0", [4.0, 4.2, 4.1], area="E", duoarea="R1")
+            + silver_rows("EPMR", [2.0, 2.5, 2.4, 2.2, 2.9], area="E", duoarea="R1"))
+    df = silver_df(spark, rows)
+    full, cut = regional_comparison(df), regional_comparison(df, newest=1)
+    expect = latest(full, ["product", "duoarea"])
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, expect.collect()))
