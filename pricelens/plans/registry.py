@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.config import DEFAULT, DEFAULT_TREND_WEEKS, UI_RATE
+from pricelens.config import DEFAULT, DEFAULT_TREND_WEEKS, PREVIEW_ROWS, UI_RATE
 from pricelens.functions.numeric import round_exact
 from pricelens.operators import forecast as fc
 from pricelens.operators import margins as mg
@@ -119,7 +119,8 @@ def _regional(lay: Layers) -> DataFrame:
 
 @register("weekly_preview", "national")
 def _weekly_preview(lay: Layers) -> DataFrame:
-    return rd.weekly_preview(lay.weekly)
+    # the newest 20 rows overall lie within each series' newest 20 dates
+    return rd.weekly_preview(sr.weekly_summary(lay.silver, lay.cfg, newest=PREVIEW_ROWS))
 
 
 # --- reads ----------------------------------------------------------------------
@@ -137,12 +138,14 @@ def _snapshot_cards(lay: Layers) -> DataFrame:
 
 @register("trends", "national")
 def _trends(lay: Layers) -> DataFrame:
-    return rd.trends(lay.weekly, "EPMR", DEFAULT_TREND_WEEKS, lay.cfg)
+    weekly = sr.weekly_summary(lay.silver, lay.cfg, newest=rd.clamp_weeks(DEFAULT_TREND_WEEKS))
+    return rd.trends(weekly, "EPMR", DEFAULT_TREND_WEEKS, lay.cfg)
 
 
 @register("trends_all", "national")
 def _trends_all(lay: Layers) -> DataFrame:
-    return rd.trends_per_product(lay.weekly, DEFAULT_TREND_WEEKS, lay.cfg)
+    weekly = sr.weekly_summary(lay.silver, lay.cfg, newest=rd.clamp_weeks(DEFAULT_TREND_WEEKS))
+    return rd.trends_per_product(weekly, DEFAULT_TREND_WEEKS, lay.cfg)
 
 
 @register("data_through", "national")
