@@ -125,3 +125,22 @@ def test_future_dates_per_series(spark, weekly):
     got = fc.future_dates(weekly).collect()
     assert len(got) == 16 and all(r.price_date.weekday() == 6 for r in got)
     assert all(1 <= r.step <= 8 for r in got)
+
+
+def test_distributed_model_equals_direct_fit_on_small_data(spark):
+    """Brute force for the query without SQL oracle: fit every series of
+    the sf0.001 tables directly in numpy and compare with the query."""
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+    weekly = E.queries()["weekly_summary"](spark, SF_SMALL)
+    hist = weekly.filter("product IN ('EPMR', 'EPD2DXL0')").toPandas()
+    got = E.queries()["forecast_additive"](spark, SF_SMALL).toPandas()
+    for product, g in hist.groupby("product"):
+        g = g.sort_values("price_date")
+        d = np.array(g["price_date"].to_numpy(), dtype="datetime64[D]")
+        fut = fc._future_dates_np(d[-1], 8, "Sun")
+        yhat, lo, hi = fit_additive(d, g["price_per_gallon"].to_numpy(float), fut)
+        mine = got[got["product"] == product].sort_values("price_date")
+        assert len(mine) == len(d) + 8
+        assert np.allclose(mine["forecast_price"].to_numpy(float), np.round(yhat, 6), atol=1e-9)
+        assert np.allclose(mine["forecast_upper"].to_numpy(float), np.round(hi, 6), atol=1e-9)
