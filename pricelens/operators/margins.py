@@ -15,7 +15,7 @@ from pricelens.config import (
 )
 from pricelens.functions.numeric import round_exact
 from pricelens.operators.series import latest
-from pricelens.session import checkpoint_dir
+from pricelens.session import materialize
 from pricelens.sources.tables import require_zone_columns
 
 MARGIN_COLUMNS = (
@@ -46,8 +46,7 @@ def materialized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     reliable checkpoint, so it also cuts the lineage), counted from the
     written rows, and broadcast only within the bound.
     """
-    checkpoint_dir(df.sparkSession)
-    done = df.checkpoint(eager=True)
+    done = materialize(df)
     return F.broadcast(done) if done.count() <= max_rows else done
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pricelens.config import DEFAULT, Config
 from pricelens.operators import margins, series, silver
+from pricelens.session import materialize
 from pricelens.sources import adapter, pages
 
 
@@ -97,3 +98,10 @@ class Layers:
         """Regional rows of the newest date of each (product, area) series;
         every "latest" read (per product or table-wide) lies within them."""
         return series.regional_comparison(self.silver, self.cfg, newest=1)
+
+    @cached_property
+    def records_materialized(self) -> DataFrame:
+        """The raw records computed once (they are an aggregate: small).
+        Plans that read them more than once, e.g. through a scalar subquery
+        for a total or a newest date, then never rescan the line items."""
+        return materialize(self.records)

@@ -53,14 +53,14 @@ def register(name: str, scope: str | None = None):
 @register("paged_ingest")
 def _paged_ingest(lay: Layers) -> DataFrame:
     """Records -> page documents (JSON text) -> parsed -> bronze rows."""
-    texts = pg.records_to_pages(lay.records, lay.cfg.page_size).select(
+    texts = pg.records_to_pages(lay.records_materialized, lay.cfg.page_size).select(
         F.to_json(F.struct("response")).alias("value"))
     return pg.paged_ingest(pg.parse_page_text(texts), lay.cfg).drop("_ingested_at")
 
 
 @register("page_report")
 def _page_report(lay: Layers) -> DataFrame:
-    return pg.page_report(pg.records_to_pages(lay.records, lay.cfg.page_size))
+    return pg.page_report(pg.records_to_pages(lay.records_materialized, lay.cfg.page_size))
 
 
 @register("ingest_profile")
@@ -72,7 +72,7 @@ def _ingest_profile(lay: Layers) -> DataFrame:
 def _keyed_upsert(lay: Layers) -> DataFrame:
     """A first load, then a re-landing of the newest 7 weeks with revised
     values; per key the later load wins."""
-    first = pg.bronze_records(lay.records, lay.cfg, as_of="2026-01-01", dedupe=False)
+    first = pg.bronze_records(lay.records_materialized, lay.cfg, as_of="2026-01-01", dedupe=False)
     pdate = F.col("period").try_cast("date")
     newest = first.agg(F.max(pdate)).scalar()
     revised = round_exact(F.col("value").try_cast("double") + F.lit(0.01), 3)

@@ -54,3 +54,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub folder of the shared checkpoint folder for written intermediates."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def materialize(df):
+    """Compute ``df`` once into the shared checkpoint folder and return the
+    materialized DataFrame (a reliable checkpoint: it survives lost
+    executors and cuts the lineage).  For small results that several parts
+    of one plan (including scalar subqueries) read."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

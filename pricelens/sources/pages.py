@@ -44,7 +44,9 @@ def records_to_pages(records: DataFrame, page_size: int = DEFAULT.page_size) ->
     The page of a record is a hash of its key modulo the page count, so the
     layout is deterministic (a re-run task rebuilds the same pages) and no
     global sort or single-partition window is needed.  ``total`` is the
-    record count, computed as a scalar subquery.
+    record count, computed as a scalar subquery: pass materialized records
+    (``session.materialize``) when they come from an expensive plan, so the
+    count does not recompute it.
     """
     total = records.agg(F.count(F.lit(1))).scalar()
     n_pages = F.greatest(F.lit(1).cast("long"), F.ceil(total / F.lit(page_size)))
