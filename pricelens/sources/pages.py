@@ -10,12 +10,13 @@ with aggregations, never on the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricelens.config import DEFAULT, Config
 from pricelens.functions.dates import as_of_column
+from pricelens.session import materialize
 from pricelens.sources.adapter import RECORD_FIELDS
 
 # Every record field is text: typing happens in the silver layer, so a bad
@@ -27,7 +28,6 @@ PAGE_SCHEMA = T.StructType([
         T.StructField("data", T.ArrayType(RECORD_SCHEMA)),
     ])),
 ])
-RECORD_KEY = ("period", "product", "duoarea", "series")
 
 
 def page_offsets(spark: SparkSession, total: int, page_size: int = DEFAULT.page_size) -> DataFrame:
@@ -39,23 +39,35 @@ def page_offsets(spark: SparkSession, total: int, page_size: int = DEFAULT.page_
 
 
 def records_to_pages(records: DataFrame, page_size: int = DEFAULT.page_size) -> DataFrame:
-    """Group records into page documents of about ``page_size`` records.
-
-    The page of a record is a hash of its key modulo the page count, so the
-    layout is deterministic (a re-run task rebuilds the same pages) and no
-    global sort or single-partition window is needed.  ``total`` is the
-    record count, computed as a scalar subquery: pass materialized records
-    (``session.materialize``) when they come from an expensive plan, so the
-    count does not recompute it.
+    """Group records into page documents of at most ``page_size`` records
+    (exactly ceil(total / page_size) pages), as a paging API hands them out.
+
+    Records are numbered without a global sort: the input is materialized
+    (so its partitions and their order are fixed and a retried task sees the
+    same rows), each partition is counted, the partition offsets are a prefix
+    sum over those per-partition counts (one row per partition), and a
+    record's number is its partition offset plus its position.  Page =
+    number / page_size, so a page never exceeds ``page_size`` records, even
+    when one record is copied very many times.
     """
-    total = records.agg(F.count(F.lit(1))).scalar()
-    n_pages = F.greatest(F.lit(1).cast("long"), F.ceil(total / F.lit(page_size)))
-    key = F.xxhash64(*[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in RECORD_KEY])
-    paged = records.select(F.pmod(key, n_pages).alias("page"),
-                           F.struct(*[F.col(f"`{c}`") for c in RECORD_FIELDS]).alias("rec"))
+    fixed = materialize(records)
+    mask = (1 << 33) - 1  # monotonically_increasing_id: partition << 33 | position
+    numbered = fixed.select(
+        F.spark_partition_id().alias("_part"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit(mask)).alias("_pos"),
+        F.struct(*[F.col(f"`{c}`") for c in RECORD_FIELDS]).alias("rec"))
+    counts = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per input partition: a global window over it is bounded
+    offsets = counts.select(
+        "_part",
+        (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_offset"),
+        F.sum("_n").over(Window.partitionBy()).alias("_total"))
+    paged = (numbered.join(F.broadcast(offsets), "_part")
+             .select(((F.col("_offset") + F.col("_pos")) / F.lit(page_size)).cast("long").alias("page"),
+                     "_total", "rec"))
     return (paged.groupBy("page")
-            .agg(F.collect_list("rec").alias("data"))
-            .select("page", F.struct(total.cast("string").alias("total"),
+            .agg(F.collect_list("rec").alias("data"), F.first("_total").alias("_total"))
+            .select("page", F.struct(F.col("_total").cast("string").alias("total"),
                                      F.col("data")).alias("response")))
 
 

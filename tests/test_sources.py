@@ -92,3 +92,15 @@ def test_surcharge_config_and_zone_contract(spark):
     assert (c.baseline_fuel_price, c.surcharge_rate, c.last_calibrated) == (4.5, 0.08, "2026-01-15")
     with pytest.raises(ValueError):
         tb.require_zone_columns(spark.createDataFrame([("Z",)], "duoarea string"))
+
+
+def test_pages_are_bounded_even_for_many_copies(spark):
+    one = tuple(rec("2024-01-01", "EPMR", "3.0").values())
+    other = [tuple(rec(f"2024-02-{d:02d}", "EPD2D", "1.0").values()) for d in range(1, 11)]
+    recs = spark.createDataFrame([one] * 95 + other, pg.RECORD_SCHEMA).repartition(3)
+    pages = pg.records_to_pages(recs, page_size=20)
+    sizes = sorted(r.n for r in pages.select(F.size("response.data").alias("n")).collect())
+    assert len(sizes) == 6 and max(sizes) <= 20 and sum(sizes) == 105
+    assert {r.t for r in pages.select(F.col("response.total").alias("t")).collect()} == {"105"}
+    rep = pg.page_report(pages).first()
+    assert (rep.pages, rep.records_found, rep.distinct_records) == (6, 105, 11)
