@@ -28,6 +28,21 @@ def test_refresh_writes_all_layers_and_is_idempotent(spark):
                              spark.table(cfg.table("gold", "delivery_zones")), cfg)
     assert view.count() > 0
     assert sorted(map(tuple, view.collect())) == sorted(map(tuple, op.select(*view.columns).collect()))
+    # the served reads over the written tables
+    from pricelens.plans import serving
+    snap = serving.snapshot(spark, cfg).collect()
+    assert len(snap) == 4 and len({r.price_date for r in snap}) == 1
+    assert serving.trends(spark, "EPMR", 10_000, cfg).count() == weekly.filter("product = 'EPMR'").count()
+    reg = serving.regional(spark, "EPD2DXL0", cfg).collect()
+    assert reg and all(r.area_name != "U.S." for r in reg)
+    last = spark.table(cfg.table("gold", "fuel_price_forecast")).filter(
+        "product = 'EPMR' AND actual_price IS NOT NULL").agg({"price_date": "max"}).first()[0]
+    fcst = serving.forecast(spark, "EPMR", as_of=last, cfg=cfg).collect()
+    assert sum(r.is_forecast for r in fcst) == 8
+    assert serving.products(spark, cfg).count() == 4
+    m = serving.margins(spark, cfg).collect()
+    assert [r.margin_pct for r in m] == sorted(r.margin_pct for r in m)
+    assert serving.surcharge_config(spark, cfg).count() == 1
 
 
 def test_refresh_from_landed_pages(spark, tmp_dir):
