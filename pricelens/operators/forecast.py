@@ -19,9 +19,11 @@ Future dates follow the weekly rule of the reference model: the next
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,6 +43,11 @@ FORECAST_SCHEMA = T.StructType([
     T.StructField("is_forecast", T.BooleanType()),
 ])
 FORECAST_COLUMNS = tuple(f.name for f in FORECAST_SCHEMA.fields)
+
+# The grouped-map function below runs in Python workers.  Pickling this
+# module by value ships the model code inside the task closure, so the
+# executors need numpy and pandas but not this package (no --py-files).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Fixed value: two-sided 80 % normal quantile (the interval width).
 Z80 = 1.2815515594600038
 

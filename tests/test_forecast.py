@@ -144,3 +144,24 @@ def test_distributed_model_equals_direct_fit_on_small_data(spark):
         assert len(mine) == len(d) + 8
         assert np.allclose(mine["forecast_price"].to_numpy(float), np.round(yhat, 6), atol=1e-9)
         assert np.allclose(mine["forecast_upper"].to_numpy(float), np.round(hi, 6), atol=1e-9)
+
+
+def test_model_runs_where_workers_cannot_import_the_package(tmp_dir):
+    """Python workers of a driver started elsewhere (or of a cluster) do not
+    have this package; the grouped-map code must travel with the task."""
+    import subprocess
+    import sys as _sys
+    code = (
+        "import importlib.util\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled','false')"
+        ".config('spark.ui.showConsoleProgress','false').getOrCreate()\n"
+        "spec = importlib.util.spec_from_file_location('e', '/root/repo/__spark_entry__.py')\n"
+        "e = importlib.util.module_from_spec(spec); spec.loader.exec_module(e)\n"
+        "print('ROWS', e.queries()['forecast_additive'](s, '/root/testdata/sf0.001').count())\n"
+    )
+    env = {k: v for k, v in __import__("os").environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([_sys.executable, "-c", code], cwd=tmp_dir, env=env,
+                         capture_output=True, text=True, timeout=600)
+    assert "ROWS" in out.stdout, out.stderr[-2000:]
+    assert int(out.stdout.split("ROWS")[1].split()[0]) > 0
