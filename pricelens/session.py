@@ -15,6 +15,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # remove reliable checkpoints (materialized intermediates) once unused
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
