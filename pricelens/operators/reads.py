@@ -84,6 +84,18 @@ def regional_latest(regional: DataFrame, product: str = DEFAULT.diesel_product,
             .orderBy(F.desc("price_per_gallon"), "duoarea"))
 
 
+def regional_latest_each(regional: DataFrame, products: list[str] | None = None,
+                         cfg: Config = DEFAULT) -> DataFrame:
+    """B-10 for several products at once: each product at its own latest
+    date (one aggregation per product, semi-joined), national row excluded."""
+    wanted = [validate_product(p, cfg) for p in (products or cfg.regional_products)]
+    some = regional.filter(F.col("product").isin(wanted))
+    return (latest(some, ["product"])
+            .filter(F.col("area_name") != cfg.national_area)
+            .select("area_name", "duoarea", "price_per_gallon", "wow_change", "price_date",
+                    "product"))
+
+
 def regional_latest_global(regional: DataFrame, product: str = DEFAULT.diesel_product) -> DataFrame:
     """B-11: one product at the table-wide latest date, cheapest first
     (empty when that product lags the other)."""

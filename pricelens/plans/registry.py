@@ -170,8 +170,7 @@ def _regional_latest_global(lay: Layers) -> DataFrame:
 
 @register("regional_position", "regional")
 def _regional_position(lay: Layers) -> DataFrame:
-    both = [rd.regional_latest(lay.regional_newest, p, lay.cfg) for p in lay.cfg.regional_products]
-    return rd.regional_position(both[0].unionByName(both[1]))
+    return rd.regional_position(rd.regional_latest_each(lay.regional_newest, None, lay.cfg))
 
 
 # --- margins ------------------------------------------------------------------

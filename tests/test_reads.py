@@ -108,3 +108,9 @@ def test_previews_and_profile(spark, weekly):
     prof = rd.ingest_profile(bronze).collect()
     assert [(r["product-name"], r.row_count, r.earliest, r.latest) for r in prof] == [
         ("a", 2, "2024-01-01", "2024-01-08"), ("b", 1, "2024-02-01", "2024-02-01")]
+
+
+def test_regional_latest_each_equals_per_product_reads(spark, regional):
+    each = rd.regional_latest_each(regional, ["EPD2DXL0", "EPMR"])
+    one_by_one = rd.regional_latest(regional, "EPD2DXL0").unionByName(rd.regional_latest(regional, "EPMR"))
+    assert sorted(map(tuple, each.collect())) == sorted(map(tuple, one_by_one.collect()))
