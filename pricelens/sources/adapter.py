@@ -126,22 +126,23 @@ def price_records(spark: SparkSession, sf_dir: str, products=None) -> DataFrame:
             [t for t, p in TYPE_TO_PRODUCT.items() if p in set(products)]))
     products = part.select(
         "p_partkey", _map_expr("p_type", type_code).cast("tinyint").alias("pcode"))
-    # nation (25 rows) and region (5 rows) are fixed-size dimension tables.
-    supplier_region = (
-        supplier.select("s_suppkey", "s_nationkey")
-        .join(F.broadcast(nation.select("n_nationkey", "n_regionkey")),
-              F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(F.broadcast(region.select("r_regionkey", "r_name")),
-              F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", "r_regionkey", "r_name")
-    )
+    # The supplier join goes to the plain supplier scan, whose size Spark
+    # estimates from its files: broadcast when small, sort-merge on the
+    # supplier key when large.  (Joining supplier to nation and region first
+    # would give a join-of-joins estimate that never broadcasts.)  nation
+    # (25 rows) and region (5 rows) are fixed-size and broadcast.
+    suppliers = supplier.select("s_suppkey", "s_nationkey")
     # Both key maps are resolved before aggregating, so the aggregation key
     # is (product, region, week): partial aggregation collapses the line
     # items map-side and only a few rows per task reach the shuffle.  One
     # GROUPING SETS aggregation yields the regional rows and the national
     # row (all regions) from a single scan and a single shuffle.
     joined = (items.join(products, items.l_partkey == products.p_partkey)
-              .join(supplier_region, F.col("l_suppkey") == F.col("s_suppkey")))
+              .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+              .join(F.broadcast(nation.select("n_nationkey", "n_regionkey")),
+                    F.col("s_nationkey") == F.col("n_nationkey"))
+              .join(F.broadcast(region.select("r_regionkey", "r_name")),
+                    F.col("n_regionkey") == F.col("r_regionkey")))
     sets = joined.groupingSets(
         [["pcode", "r_regionkey", "r_name", "week"], ["pcode", "week"]],
         "pcode", "r_regionkey", "r_name", "week",
