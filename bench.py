@@ -3,7 +3,8 @@
 Runs each query end to end from the raw parquet tables in $BENCH_SF_DIR
 (default /root/testdata/sf0.1) on local[$BENCH_CPUS] and prints one JSON
 line: {"metric", "value" (sum of per-query medians, seconds), "unit",
-"queries": {name: median seconds}, "sf", "runs", "rows"}.
+"queries": {name: median seconds}, "build_sec" / "execute_sec" (medians of
+the plan-construction and execution parts), "sf", "runs", "rows"}.
 
 Each query is executed fully (``write.format("noop")``, so every row is
 produced but nothing is shipped to the driver), once to warm up and then
@@ -57,17 +58,26 @@ def main() -> None:
     qs = all_queries()
     names = only or [q for q in HEADLINE if q in qs]
     times: dict[str, float] = {}
+    build: dict[str, float] = {}
+    execute: dict[str, float] = {}
     rows: dict[str, int] = {}
     for name in names:
         Layers.forget()
         qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
-        samples = []
+        samples, builds, runs_ = [], [], []
         for _ in range(runs):
             Layers.forget()
             t0 = time.perf_counter()
-            qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            samples.append(time.perf_counter() - t0)
+            df = qs[name](spark, sf_dir)  # plan construction (incl. materialized parts)
+            t1 = time.perf_counter()
+            df.write.format("noop").mode("overwrite").save()
+            t2 = time.perf_counter()
+            samples.append(t2 - t0)
+            builds.append(t1 - t0)
+            runs_.append(t2 - t1)
         times[name] = round(statistics.median(samples), 3)
+        build[name] = round(statistics.median(builds), 3)
+        execute[name] = round(statistics.median(runs_), 3)
         rows[name] = qs[name](spark, sf_dir).count()
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
@@ -75,6 +85,8 @@ def main() -> None:
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
+        "build_sec": build,
+        "execute_sec": execute,
         "sf": float(m.group(1)) if m else sf_dir,
         "runs": runs,
         "cpus": cpus,
