@@ -50,3 +50,41 @@ def test_regional_and_margins_partition_free(spark, seed, parts):
     m1 = mg.delivery_margins(base, zones).collect()
     m2 = mg.delivery_margins(moved, zones.repartition(parts)).collect()
     assert len(m1) > 0 and sorted(map(tuple, m1)) == sorted(map(tuple, m2))
+
+
+def _point_brute(prices, baseline, rate, fleet):
+    """The what-if arithmetic written out directly."""
+    avg = sum(prices) / len(prices) if prices else 5.5
+    above = max(0.0, avg - baseline)
+    g = fleet.miles_per_delivery / fleet.mpg
+    extra = above * g * fleet.weekly_deliveries
+    rev = above / 0.1 * rate * fleet.weekly_deliveries
+    rec = rev / extra * 100 if extra > 0 else 100.0
+    band = None if not above > 0 else ("good" if rec >= 100 else "partial" if rec >= 70 else "poor")
+    return avg, above, extra, rev, rec, band
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(cents=st.lists(st.integers(100, 900), min_size=0, max_size=6),
+       base=st.integers(300, 600), rate=st.integers(0, 100),
+       deliveries=st.integers(1, 10_000), miles=st.integers(1, 90))
+def test_surcharge_point_matches_direct_arithmetic(spark, cents, base, rate, deliveries, miles):
+    import datetime as dt
+
+    import pytest
+
+    from pricelens.config import Fleet
+    from pricelens.operators import surcharge as sc
+    prices = [c / 100.0 for c in cents]
+    fleet = Fleet(weekly_deliveries=deliveries, miles_per_delivery=miles, mpg=6.2)
+    rows = [(f"a{i}", f"R{i}", p, None, dt.date(2024, 1, 1), "EPD2DXL0") for i, p in enumerate(prices)]
+    latest_rows = spark.createDataFrame(rows, "area_name string, duoarea string, price_per_gallon double, "
+                                              "wow_change double, price_date date, product string")
+    r = sc.surcharge_point(latest_rows, base / 100.0, rate / 100.0, fleet).first()
+    avg, above, extra, rev, rec, band = _point_brute(prices, base / 100.0, rate / 100.0, fleet)
+    assert r.avg_price == pytest.approx(avg, abs=1e-6)
+    assert r.weekly_extra_fuel_cost == pytest.approx(extra, abs=1e-5)
+    assert r.weekly_surcharge_revenue == pytest.approx(rev, abs=1e-5)
+    assert r.recovery_pct == pytest.approx(rec, abs=1e-5)
+    if abs(rec - 100) > 1e-6 and abs(rec - 70) > 1e-6:  # exact band edges: rounding noise
+        assert r.recovery_band == band
