@@ -88,3 +88,36 @@ def test_surcharge_point_matches_direct_arithmetic(spark, cents, base, rate, del
     assert r.recovery_pct == pytest.approx(rec, abs=1e-5)
     if abs(rec - 100) > 1e-6 and abs(rec - 70) > 1e-6:  # exact band edges: rounding noise
         assert r.recovery_band == band
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(zones=st.lists(st.tuples(st.integers(1, 900), st.integers(1, 60), st.integers(0, 300),
+                                st.integers(0, 200)), min_size=1, max_size=8),
+       price_mills=st.integers(1000, 6000))
+def test_margins_match_direct_formulas(spark, zones, price_mills):
+    import datetime as dt
+
+    from pricelens.operators import margins as mg
+    price = price_mills / 1000.0
+    regional = spark.createDataFrame(
+        [(dt.date(2024, 1, 1), "EPD2DXL0", "d", "Diesel", "R1", "East", price, None, None)],
+        "price_date date, product string, product_name string, product_category string, duoarea string, "
+        "area_name string, price_per_gallon double, prev_week_price double, wow_change double")
+    rows = [(f"Z{i}", f"z{i}", "R1", d, m, float(rev), float(base), 0.0, 0.0, 6.2)
+            for i, (d, m, rev, base) in enumerate(zones)]
+    z = spark.createDataFrame(rows, "duoarea string, zone_name string, padd_region string, "
+                              "deliveries_per_week int, avg_miles_per_delivery int, revenue_per_delivery double, "
+                              "base_cost_per_delivery double, latitude double, longitude double, fleet_mpg double")
+    got = {r.duoarea: r for r in mg.margin_status(mg.delivery_margins(regional, z)).collect()}
+    for i, (d, m, rev, base) in enumerate(zones):
+        r = got[f"Z{i}"]
+        fuel = (m / 6.2) * price
+        margin = rev - base - fuel
+        assert r.fuel_cost_per_delivery == half_up(fuel, 2)
+        assert r.margin_per_delivery == half_up(margin, 2)
+        assert r.margin_pct == (None if rev == 0 else half_up(margin / rev * 100, 1))
+        assert r.weekly_fuel_cost == half_up(fuel * d, 0)
+        assert r.weekly_margin == half_up(margin * d, 0)
+        pct = r.margin_pct or 0.0
+        expect = "healthy" if pct > 25 else "watch" if pct > 15 else "warning" if pct > 5 else "critical"
+        assert r.status == expect
