@@ -121,3 +121,32 @@ def test_margins_match_direct_formulas(spark, zones, price_mills):
         pct = r.margin_pct or 0.0
         expect = "healthy" if pct > 25 else "watch" if pct > 15 else "warning" if pct > 5 else "critical"
         assert r.status == expect
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(n=st.integers(20, 120), seed=st.integers(0, 1000))
+def test_linear_seasonal_matches_numpy(spark, n, seed):
+    import datetime as dt
+
+    import numpy as np
+
+    from pricelens.operators import forecast as fc
+    rng = random.Random(seed)
+    prices = [round(2 + 0.01 * i + rng.uniform(-0.2, 0.2), 3) for i in range(n)]
+    w = weekly_summary(silver_df(spark, silver_rows("EPMR", prices)))
+    got = fc.linear_seasonal_forecast(w).orderBy("price_date").collect()
+    t = np.arange(1, n + 1, dtype=float)
+    y = np.array(prices)
+    b, a = np.polyfit(t, y, 1)
+    dates = [r.price_date for r in got]
+    woy = np.array([d.isocalendar()[1] for d in dates])
+    resid = y - (a + b * t)
+    adj = {k: resid[woy[:n] == k].mean() for k in set(woy[:n])}
+    fit_all = np.array([a + b * (i + 1) + adj.get(woy[i], 0.0) for i in range(n + 8)])
+    sigma = np.std(y - fit_all[:n], ddof=1)
+    assert len(got) == n + 8
+    assert all(d.weekday() == 6 for d in dates[n:]) and dates[n] > dates[n - 1]
+    assert all(dt.timedelta(days=7) == dates[i + 1] - dates[i] for i in range(n, n + 7))
+    for i, r in enumerate(got):
+        assert abs(r.forecast_price - fit_all[i]) < 2e-6
+        assert abs((r.forecast_upper - r.forecast_price) - fc.Z80 * sigma) < 5e-6
