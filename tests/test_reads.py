@@ -114,3 +114,11 @@ def test_regional_latest_each_equals_per_product_reads(spark, regional):
     each = rd.regional_latest_each(regional, ["EPD2DXL0", "EPMR"])
     one_by_one = rd.regional_latest(regional, "EPD2DXL0").unionByName(rd.regional_latest(regional, "EPMR"))
     assert sorted(map(tuple, each.collect())) == sorted(map(tuple, one_by_one.collect()))
+
+
+def test_null_area_name_is_dropped_like_sql_not_equal(spark):
+    rows = (silver_rows("EPD2DXL0", [3.0, 3.1]) + silver_rows("EPD2DXL0", [4.0, 4.1], area="E", duoarea="R1")
+            + [(week(1), "EPD2DXL0", "d", "Diesel", "R9", None, 5.0, "s", "d", "$/GAL")])
+    from pricelens.operators.series import regional_comparison as rc
+    got = [r.duoarea for r in rd.regional_latest(rc(silver_df(spark, rows)), "EPD2DXL0").collect()]
+    assert got == ["R1"]

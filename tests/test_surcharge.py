@@ -79,3 +79,8 @@ def test_fleet_from_zones(spark):
     r = sc.fleet_from_zones(z).first()
     assert r.weekly_deliveries == 40 and r.miles_per_delivery == 45.0
     assert r.gallons_per_delivery == pytest.approx((10 * 5 + 30 * 10) / 40)
+
+
+def test_price_equal_to_baseline_has_no_band(spark):
+    r = sc.surcharge_point(latest(spark, [4.5]), baseline=4.5, rate=0.35).first()
+    assert (r.above_baseline, r.recovery_pct, r.recovery_band) == (0.0, 100.0, None)
