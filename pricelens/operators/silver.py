@@ -34,9 +34,15 @@ def _typed(bronze: DataFrame, cfg: Config) -> DataFrame:
 
 
 def silver_prices(bronze: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """Rename, type, categorise, prune, and drop rows without a price."""
-    return (_typed(bronze, cfg)
-            .select(*SILVER_COLUMNS)
+    """Rename, type, categorise, prune, and drop rows without a price
+    (one projection and one filter)."""
+    src = {c.replace("-", "_"): F.col(f"`{c}`") for c in bronze.columns}
+    typed = {
+        "price_date": F.col("period").try_cast("date"),
+        "price_per_gallon": F.col("value").try_cast("double"),
+        "product_category": product_category(F.col("product"), cfg),
+    }
+    return (bronze.select(*[(typed[c] if c in typed else src[c]).alias(c) for c in SILVER_COLUMNS])
             .filter(F.col("price_per_gallon").isNotNull()))
 
 
