@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pricelens.llm import bpe, token_counts, url_filters
+from pricelens.llm import bpe, sharding, token_counts, url_filters
 
 
 def llm_queries() -> dict:
     return {
         "op2_token_counts": token_counts.op2_token_counts,
+        "op7_sharding": sharding.op7_sharding,
         "op9_bpe": bpe.op9_bpe,
         "op10_url_filters": url_filters.op10_url_filters,
     }
