@@ -44,6 +44,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pricelens.llm.common import lanes, table, written
 
 BLOCK_WORDS = 4_000_000
+OUT_TOKENS = 1_000_000
 # letters whose normal form is themselves, then ASCII signs: the usual word, without the full pattern
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 SPACE = re.compile(r"[\t-\r \x85\xa0  -     　]+")
@@ -124,8 +125,8 @@ def words_of(text: str) -> list[str]:
     return SPACE.split(text) if ODD.search(text) else text.split()
 
 
-FIELDS = ("block string, bucket int, doc_ids array<{id}>, counts array<long>, numbers binary, slots binary, "
-          "n_words int, words binary")
+FIELDS = ("block string, bucket int, doc_ids array<{id}>, counts array<long>, numbers binary, buckets binary, "
+          "words binary")
 
 
 def pack(a: np.ndarray) -> bytes:
@@ -156,25 +157,27 @@ class WordTable(dict):
 def number_words(spec, id_type: pa.DataType, block_words: int, n_buckets: int):
     """Batches of (doc_id, text) -> block rows (bucket null) and word rows."""
     schema = pa.schema([("block", pa.string()), ("bucket", pa.int32()), ("doc_ids", pa.list_(id_type)),
-                        ("counts", pa.list_(pa.int64())), ("numbers", pa.binary()), ("slots", pa.binary()),
-                        ("n_words", pa.int32()), ("words", pa.binary())])
+                        ("counts", pa.list_(pa.int64())), ("numbers", pa.binary()), ("buckets", pa.binary()),
+                        ("words", pa.binary())])
 
     def rows(block: str, ids, counts, numbers, words) -> Iterator[pa.RecordBatch]:
-        words = list(words)
+        # frequent words get small numbers: the number planes then pack best
+        flat, words = np.concatenate(numbers), list(words)
+        by_use = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
+        renumber = np.empty(len(words), np.uint32)
+        renumber[by_use] = np.arange(len(words), dtype=np.uint32)
+        words = [words[k] for k in by_use.tolist()]
         bucket = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) % n_buckets for w in words),
-                             np.int64, len(words))
+                             np.uint32, len(words))
+        yield pa.RecordBatch.from_pylist([{"block": block, "doc_ids": ids, "counts": counts, "buckets": pack(bucket),
+                                           "numbers": pack(renumber[flat])}], schema)
         order = np.argsort(bucket, kind="stable")
-        slot = np.empty(len(words), np.uint32)
-        slot[order] = np.arange(len(words), dtype=np.uint32)
-        yield pa.RecordBatch.from_pylist([{
-            "block": block, "doc_ids": ids, "counts": counts, "slots": pack(slot),
-            "numbers": pack(np.concatenate(numbers) if numbers else np.zeros(0, np.uint32))}], schema)
         at = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
         out = []
         for b in np.flatnonzero(np.diff(at)).tolist():
             own = [words[k] for k in order[at[b]:at[b + 1]]]
             raw = "\n".join(own).encode("utf-8", "surrogatepass")
-            out.append({"block": block, "bucket": b, "n_words": len(own),
+            out.append({"block": block, "bucket": b,
                         "words": len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)})
         if out:
             yield pa.RecordBatch.from_pylist(out, schema)
@@ -223,36 +226,54 @@ def encode_words(spec):
 
 
 def join_back(spec, id_type: pa.DataType):
-    """(a block's words with ids) + (its documents) -> one row per document."""
-    def run(coded: pa.Table, blocks: pa.Table) -> pa.Table:
+    """Block rows with the ids of their words -> one row per document, given
+    out every OUT_TOKENS ids so that a task holds a part of a block's result."""
+    names = ["doc_id", "n_tokens", "ids", "decoded"]
+
+    def words_by_number(coded: list[dict] | None, buckets: np.ndarray, piece: dict[int, str]):
+        packed, decoded = [], []
+        for one in sorted(coded or [], key=lambda c: c["bucket"]):
+            flat = unpack(one["ids"])
+            raw, text, start = flat.tobytes(), [piece[i] for i in flat.tolist()], 0
+            for end in np.cumsum(unpack(one["sizes"])).tolist():
+                packed.append(raw[4 * start:4 * end])
+                decoded.append(" ".join(text[start:end]))
+                start = end
+        order = np.argsort(buckets, kind="stable")
+        out = []
+        for found in (packed, decoded):
+            by_number = np.empty(len(order), object)
+            by_number[order] = found
+            out.append(by_number)
+        return out
+
+    def run(batches):
         bpe = WordBpe(spec.value)
         piece = dict(bpe.pieces())
-        packed_words: list[bytes] = []
-        decoded_words: list[str] = []
-        for k in np.argsort(coded.column("bucket").to_numpy()).tolist():
-            flat = unpack(coded.column("ids")[k].as_py())
-            ends = np.cumsum(unpack(coded.column("sizes")[k].as_py())).tolist()
-            raw, names, start = flat.tobytes(), [piece[i] for i in flat.tolist()], 0
-            for end in ends:
-                packed_words.append(raw[4 * start:4 * end])
-                decoded_words.append(" ".join(names[start:end]))
-                start = end
-        doc, count, packed, decoded = [], [], [], []
-        for k in range(blocks.num_rows):
-            slots = unpack(blocks.column("slots")[k].as_py())
-            ids = np.array([*packed_words, None], object)[:-1][slots]
-            text = np.array([*decoded_words, None], object)[:-1][slots]
-            flat, start = unpack(blocks.column("numbers")[k].as_py()), 0
-            for doc_id, size in zip(blocks.column("doc_ids")[k].as_py(), blocks.column("counts")[k].as_py(),
-                                    strict=True):
-                own = flat[start:start + size]
-                start += size
-                doc.append(doc_id)
-                packed.append(b"".join(ids[own].tolist()))
-                count.append(len(packed[-1]) // 4)
-                decoded.append(" ".join(text[own].tolist()))
-        return pa.table([pa.array(doc, id_type), pa.array(count, pa.int64()), pa.array(packed, pa.binary()),
-                         pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids", "decoded"])
+        del bpe
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = {c: batch.column(c)[k] for c in batch.schema.names}
+                ids, text = words_by_number(row["coded"].as_py(), unpack(row["buckets"].as_py()), piece)
+                flat, start, held = unpack(row["numbers"].as_py()), 0, 0
+                out = [[], [], [], []]
+                for doc_id, size in zip(row["doc_ids"].as_py(), row["counts"].as_py(), strict=True):
+                    own = flat[start:start + size]
+                    start += size
+                    packed = b"".join(ids[own].tolist())
+                    for column, value in zip(out, (doc_id, len(packed) // 4, packed, " ".join(text[own].tolist())),
+                                             strict=True):
+                        column.append(value)
+                    held += len(packed) // 4
+                    if held >= OUT_TOKENS:
+                        yield table_of(out)
+                        out, held = [[], [], [], []], 0
+                if out[0]:
+                    yield table_of(out)
+
+    def table_of(out):
+        kinds = (id_type, pa.int64(), pa.binary(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names)
     return run
 
 
@@ -270,11 +291,11 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     n = lanes(spark)
     rows = written(src.mapInArrow(number_words(spec, id_type, block_words, n), FIELDS.format(id=kind.simpleString())))
     coded = (rows.filter("bucket is not null").select("block", "bucket", "words").repartition(n, "bucket")
-             .mapInArrow(encode_words(spec), "block string, bucket int, sizes binary, ids binary"))
-    blocks = rows.filter("bucket is null").select("block", "doc_ids", "counts", "numbers", "slots")
-    return (coded.groupBy("block").cogroup(blocks.groupBy("block"))
-            .applyInArrow(join_back(spec, id_type),
-                          f"doc_id {kind.simpleString()}, n_tokens long, ids binary, decoded string"))
+             .mapInArrow(encode_words(spec), "block string, bucket int, sizes binary, ids binary")
+             .groupBy("block").agg(F.collect_list(F.struct("bucket", "sizes", "ids")).alias("coded")))
+    blocks = rows.filter("bucket is null").select("block", "doc_ids", "counts", "numbers", "buckets")
+    return blocks.join(coded, "block", "left").mapInArrow(
+        join_back(spec, id_type), f"doc_id {kind.simpleString()}, n_tokens long, ids binary, decoded string")
 
 
 def op9_bpe(spark, sf_dir) -> DataFrame:

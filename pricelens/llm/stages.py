@@ -1 +1,8 @@
 """Pipeline stages: (spark, docs, sf_dir) -> DataFrame, one operator each."""
+
+
+def quality_stage(spark, docs, sf_dir):
+    raise NotImplementedError
+
+
+line_dedup_stage = jaccard_stage = decontamination_stage = bpe_stage = quality_stage
