@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pricelens.llm import bpe, sharding, token_counts, url_filters
+from pricelens.llm import bpe, line_dedup, sharding, token_counts, url_filters
 
 
 def llm_queries() -> dict:
     return {
+        "op1_line_dedup": line_dedup.op1_line_dedup,
         "op2_token_counts": token_counts.op2_token_counts,
         "op7_sharding": sharding.op7_sharding,
         "op9_bpe": bpe.op9_bpe,
@@ -15,4 +16,4 @@ def llm_queries() -> dict:
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op10_url_filters": url_filters.SQL}
+    return {"op1_line_dedup": line_dedup.SQL, "op10_url_filters": url_filters.SQL}
