@@ -41,8 +41,9 @@ from pyspark.sql import functions as F
 from pricelens.llm.common import min_label_components, table, written
 from pricelens.llm.shingles import mix, shingle_set
 
-SPARE = 0.15
-SMALL_SEGMENT_COST = 50.0
+SPARE = 0.1
+SMALL_SEGMENT_COST = 5.0
+SEEN = 500_000
 BAND_RATIO = 1.5
 BINS = 32
 
@@ -116,9 +117,10 @@ def _sign(words: int, t: Fraction):
     """(doc_id, text) -> doc_id, size, digest, bucket counts, signatures."""
     def run(batches):
         plans: dict[int, list] = {}
+        seen: set[bytes] = set()
         for batch in batches:
-            cols = [[], [], [], [], [], [], []]
-            for text in batch.column(1):
+            cols = [[], [], [], [], []]
+            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
                 h = shingle_set(text.as_py(), words)
                 with np.errstate(over="ignore"):
                     digest = (int(h.sum(dtype=np.uint64)).to_bytes(8, "little")
@@ -126,14 +128,19 @@ def _sign(words: int, t: Fraction):
                     counts = np.minimum(np.bincount((mix(h) >> np.uint64(59)).astype(np.int64), minlength=BINS), 255)
                 if len(h) not in plans:
                     plans[len(h)] = schemes(len(h), t)
-                sig, weight, spare = signatures(h, plans[len(h)])
-                for c, v in zip(cols, (len(h), digest, counts.astype(np.int16), sig, weight.astype(np.int8),
-                                       spare.astype(np.int16)), strict=False):
+                signed = None
+                if len(h) and doc_id.is_valid and digest not in seen:  # a task signs one copy of a set
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen.add(digest)
+                    sig, weight, spare = signatures(h, plans[len(h)])
+                    signed = (sig, np.where(spare < 0, -1, 3 * spare + weight).astype(np.int32))
+                for c, v in zip(cols, (len(h), digest, counts.astype(np.int16), *(signed or (None, None))), strict=True):
                     c.append(v)
-            kinds = (pa.int64(), pa.binary(), pa.list_(pa.int16()), pa.list_(pa.int64()), pa.list_(pa.int8()),
-                     pa.list_(pa.int16()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=False)]],
-                                             ["doc_id", "size", "digest", "counts", "sig", "weight", "spare"])
+            kinds = (pa.int64(), pa.binary(), pa.list_(pa.int16()), pa.list_(pa.int64()), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]],
+                ["doc_id", "size", "digest", "counts", "sig", "role"])
     return run
 
 
@@ -155,7 +162,7 @@ def _verified(pairs: DataFrame, reps: DataFrame, src: DataFrame, words: int, t:
     near = near.filter((F.least("na", "nb") * down >= F.greatest("na", "nb") * up)
                        & (apart * (up + down) <= (F.col("na") + F.col("nb")) * (down - up)))
     near = written(near.select("a", "b", "na", "nb"))
-    ids = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
+    ids = written(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct())
     sets = written(src.join(ids, "doc_id", "left_semi").mapInArrow(_sets(words), "rep long, shingles array<long>")
                    .dropDuplicates(["rep"]))
     both = (near.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
@@ -171,22 +178,25 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: str = "0.8",
     t = Fraction(threshold)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = written(src.mapInArrow(_sign(words, t), "doc_id long, size long, digest binary, counts array<short>, "
-                                    "sig array<long>, weight array<byte>, spare array<short>"))
+                                    "sig array<long>, role array<int>"))
     per_set = signed.filter("size > 0 and doc_id is not null")
-    reps = written(per_set.groupBy("size", "digest").agg(F.min("doc_id").alias("rep"),
-                                                        F.first("counts").alias("counts")))
-    # one row for each signature of a representative; repeated ids count once
-    own = (per_set.join(reps.select(F.col("rep").alias("doc_id"), "size", "digest"), ["doc_id", "size", "digest"],
-                        "left_semi").select(F.col("doc_id").alias("rep"), F.explode(F.arrays_zip("sig", "weight", "spare"))
-                                            .alias("s")).select("rep", "s.sig", "s.weight", "s.spare"))
+    # a set is known by the smallest id that was signed; least is its smallest id of all
+    reps = written(per_set.groupBy("size", "digest").agg(
+        F.min(F.when(F.col("sig").isNotNull(), F.col("doc_id"))).alias("rep"), F.min("doc_id").alias("least"),
+        F.first("counts").alias("counts")))
+    rows = (per_set.filter("sig is not null")
+            .select(F.col("doc_id").alias("rep"), F.explode(F.arrays_zip("sig", "role")).alias("s"))
+            .select("rep", "s.sig", "s.role"))
     group = Window.partitionBy("sig")
-    shared = written(own.withColumn("n", F.count("*").over(group)).filter("n > 1"))
+    shared = rows.withColumn("n", F.count("*").over(group)).filter("n > 1")
+    shared = written(shared.join(reps.select("rep"), "rep", "left_semi").distinct())
     # allocation: leave out the most frequent segments that the set can spare
     costly = (Window.partitionBy("rep").orderBy(F.col("n").desc(), "sig")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    probing = shared.filter("spare >= 0").withColumn("spent", F.sum("weight").over(costly))
-    rows = (probing.select("rep", "sig", ((F.col("spent") > F.col("spare")) | (F.col("weight") == 0)).alias("probe"))
-            .unionByName(shared.filter("spare < 0").select("rep", "sig", F.lit(False).alias("probe"))))
+    spare, weight = F.floor(F.col("role") / 3), F.col("role") % 3
+    probing = shared.filter("role >= 0").withColumn("spent", F.sum(weight).over(costly))
+    rows = (probing.select("rep", "sig", ((F.col("spent") > spare) | (weight == 0)).alias("probe"))
+            .unionByName(shared.filter("role < 0").select("rep", "sig", F.lit(False).alias("probe"))))
     order = group.orderBy(F.col("probe").desc(), "rep").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     star = written(rows.withColumns({"hub": F.first("rep").over(order), "asked": F.first("probe").over(order)})
                    .filter("asked").select("sig", "hub", "rep", "probe"))
@@ -207,13 +217,16 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: str = "0.8",
             .join(star.filter("hub <> rep").select(*pair), ["a", "b"], "left_anti"))
     found = written(_verified(more, reps, src, words, t))
     graph = links.unionByName(found)
-    whole = min_label_components(graph)
-    named = reps.join(whole.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "size", "digest", "rep", F.coalesce("component_id", "rep").alias("component_id"))
+    whole = min_label_components(graph).withColumnRenamed("node", "rep")
+    named = written(reps.join(whole, "rep", "left").select("size", "digest", "rep", "least",
+                                                           F.coalesce("component_id", "rep").alias("c")))
+    least = named.groupBy("c").agg(F.min("least").alias("component_id"))
+    named = named.join(least, "c").select("size", "digest", "least", "component_id")
     out = signed.select("doc_id", "size", "digest").join(named, ["size", "digest"], "left")
+    linked = F.col("doc_id").isNotNull() & (F.col("size") > 0)
     return out.select("doc_id", F.col("size").alias("n_shingles"),
-                      F.coalesce("component_id", "doc_id").alias("component_id"),
-                      F.coalesce("rep", "doc_id").alias("representative"))
+                      F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+                      F.when(linked, F.col("least")).otherwise(F.col("doc_id")).alias("representative"))
 
 
 def op3_jaccard(spark, sf_dir) -> DataFrame:
