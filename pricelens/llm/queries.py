@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricelens.llm import bpe, jaccard, line_dedup, sharding, token_counts, url_filters
+from pricelens.llm import bpe, decontamination, jaccard, line_dedup, sharding, token_counts, url_filters
 
 
 def llm_queries() -> dict:
@@ -10,6 +10,7 @@ def llm_queries() -> dict:
         "op1_line_dedup": line_dedup.op1_line_dedup,
         "op2_token_counts": token_counts.op2_token_counts,
         "op3_jaccard": jaccard.op3_jaccard,
+        "op5_decontamination": decontamination.op5_decontamination,
         "op7_sharding": sharding.op7_sharding,
         "op9_bpe": bpe.op9_bpe,
         "op10_url_filters": url_filters.op10_url_filters,
