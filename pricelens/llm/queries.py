@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricelens.llm import bpe, decontamination, jaccard, line_dedup, sharding, token_counts, url_filters
+from pricelens.llm import bpe, decontamination, jaccard, line_dedup, quality, sharding, token_counts, toxicity, url_filters
 
 
 def llm_queries() -> dict:
@@ -11,6 +11,8 @@ def llm_queries() -> dict:
         "op2_token_counts": token_counts.op2_token_counts,
         "op3_jaccard": jaccard.op3_jaccard,
         "op5_decontamination": decontamination.op5_decontamination,
+        "op6_toxicity": toxicity.op6_toxicity,
+        "op8_quality": quality.op8_quality,
         "op7_sharding": sharding.op7_sharding,
         "op9_bpe": bpe.op9_bpe,
         "op10_url_filters": url_filters.op10_url_filters,

@@ -19,12 +19,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    """Hash of every word (bytes that are not white space, A-Z lowered)."""
+SIGNS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def word_hashes(text: str | None, cuts: np.ndarray = SPACES) -> np.ndarray:
+    """Hash of every word (bytes that are not in ``cuts``, A-Z lowered)."""
     raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
     if not len(raw):
         return np.zeros(0, np.uint64)
-    space = SPACES[raw]
+    space = cuts[raw]
     starts = np.flatnonzero(~space & np.concatenate(([True], space[:-1])))
     if not len(starts):
         return np.zeros(0, np.uint64)
