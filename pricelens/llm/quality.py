@@ -22,6 +22,7 @@ share (0 or 1).  Repeated ids give one row each; an empty table no rows.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -172,23 +173,25 @@ def fit_quality(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE) -> A
     return AttentionMil().fit(np.concatenate(rows), np.cumsum([0, *map(len, rows)])[:-1], y, weight)
 
 
+def quality_score(spark, model: AttentionMil | float):
+    """A function of a text column that gives its score."""
+    shared = spark.sparkContext.broadcast(model)  # a few thousand numbers
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        m, out = shared.value, []
+        for k in range(0, len(texts), 256):
+            part = texts.iloc[k:k + 256]
+            out.append(np.full(len(part), m) if isinstance(m, float) else m.forward(*_bags(part))[0])
+        return pd.Series(np.concatenate(out) if out else np.zeros(0))
+    return score
+
+
 def quality_scores(docs: DataFrame, model: AttentionMil | float, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """(doc_id, score) of every row, each from its whole text."""
-    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand numbers
-
-    def run(batches):
-        m = shared.value
-        for b in batches:
-            for k in range(0, b.num_rows, 256):
-                part = b.slice(k, 256)
-                if isinstance(m, float):
-                    s = np.full(part.num_rows, m)
-                else:
-                    s, _ = m.forward(*_bags(t.as_py() for t in part.column(1)))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(s, pa.float64())], ["doc_id", "score"])
-    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, score double")
+    score = quality_score(docs.sparkSession, model)
+    return docs.select(F.col(id_col).alias("doc_id"), score(F.col(text_col).cast("string")).alias("score"))
 
 
 def op8_quality(spark, sf_dir) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricelens.llm import bpe, decontamination, jaccard, line_dedup, quality, sharding, token_counts, toxicity, url_filters
+from pricelens.llm import bpe, cover_tree, decontamination, jaccard, line_dedup, quality, sharding, token_counts, toxicity, url_filters
 
 
 def llm_queries() -> dict:
@@ -10,6 +10,7 @@ def llm_queries() -> dict:
         "op1_line_dedup": line_dedup.op1_line_dedup,
         "op2_token_counts": token_counts.op2_token_counts,
         "op3_jaccard": jaccard.op3_jaccard,
+        "op4_cover_tree": cover_tree.op4_cover_tree,
         "op5_decontamination": decontamination.op5_decontamination,
         "op6_toxicity": toxicity.op6_toxicity,
         "op8_quality": quality.op8_quality,

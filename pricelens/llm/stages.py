@@ -1,8 +1,58 @@
-"""Pipeline stages: (spark, docs, sf_dir) -> DataFrame, one operator each."""
+"""Pipeline stages: (spark, docs, sf_dir) -> DataFrame, one operator each.
 
+All but the last return the columns of ``docs`` as they came.
+"""
 
-def quality_stage(spark, docs, sf_dir):
-    raise NotImplementedError
+from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-line_dedup_stage = jaccard_stage = decontamination_stage = bpe_stage = quality_stage
+from pricelens.llm.bpe import encode_decode
+from pricelens.llm.common import held_out, table, written
+from pricelens.llm.decontamination import contaminated
+from pricelens.llm.jaccard import jaccard_components
+from pricelens.llm.labelled import label_rows
+from pricelens.llm.line_dedup import line_dedup
+from pricelens.llm.quality import fit_quality, quality_score
+
+REJECT_BELOW = 0.5
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are likelier low than high in quality go."""
+    labels = label_rows(table(spark, sf_dir, "labels", "doc_id", "quality"), "quality",
+                        ~held_out(F.col("doc_id"), 4, 2))
+    model = fit_quality(table(spark, sf_dir, "documents", "doc_id", "text"), labels)
+    return docs.filter(quality_score(spark, model)(F.col("text").cast("string")) >= REJECT_BELOW)
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated line runs go; so do documents of which nothing
+    is left.  ``n_chars`` follows the text where there is such a column."""
+    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    out = line_dedup(docs, keep=rest).filter(~((F.col("n_removed") > 0) & (F.trim(F.translate("text", "\n", " ")) == "")))
+    kind = dict(docs.dtypes).get("n_chars")
+    n_chars = F.coalesce(F.length("text").cast(kind), F.col("n_chars")) if kind else None
+    return out.select(*[n_chars.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+
+
+def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (five words, 0.8) stays:
+    the one with the smallest id.  An id is one document; rows without an id
+    all stay."""
+    kept = written(jaccard_components(docs).filter("doc_id = component_id").select("doc_id").distinct())
+    stay = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return stay.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    found = contaminated(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return docs.join(written(found.select("doc_id").distinct()), "doc_id", "left_anti").select(*docs.columns)
+
+
+def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Per document: doc_id, n_tokens, ids, decoded text."""
+    import public_tokenizers
+    return encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"))

@@ -1,24 +1,26 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Confirmed toxic documents are the positives; every other document, whatever its
-label, is unlabelled.  A linear classifier over the presence of hashed words
-(lower-cased, cut at white space and ASCII signs) is trained in numpy on the
+Confirmed toxic documents are the positives; the unlabelled text is drawn from
+all documents, whatever their labels, so that it has the class prior.  A linear classifier over the presence of hashed words
+(lower-cased, cut at white space and ASCII signs) and of word prefixes shared by
+one, two or three distinct words of the text is trained in numpy on the
 non-negative risk: with class prior p and logistic loss l,
 
     p E_pos[l(+)] + max(0, E_unl[l(-)] - p E_pos[l(-)]);
 
-where the second term is negative, its gradient is turned (Kiryo et al. 2017).
+where the second term is negative it stops counting (Kiryo et al. 2017).
 The prior is the share of toxic rows among the labels to learn from.  A first
 pass keeps the words whose share among the positives exceeds that among the
-unlabelled by the most standard errors (at most ``WORDS``).
+unlabelled by the most standard errors, at least ``LEAST_GAIN`` (at most
+``WORDS`` words).
 
-The fit uses at most ``POSITIVES`` toxic and ``UNLABELLED`` other documents (the
+The fit uses at most ``POSITIVES`` toxic and ``UNLABELLED`` documents of all (the
 smallest hashes of the id), a documented bound.  Scoring reads every whole text
 in one map pass without a shuffle.  Held-out labels are never read into the fit
 (such documents may serve as unlabelled text); only the text is an input.
 
 Null text counts as empty and gets the bias alone.  Without toxic labels the
-score is 0, without other documents the prior.  Repeated ids give one row each;
+score is 0.  Repeated ids give one row each;
 an empty table no rows.
 """
 
@@ -31,18 +33,19 @@ from pyspark.sql import functions as F
 
 from pricelens.llm.common import held_out, table, written
 from pricelens.llm.labelled import hashed_sample, label_rows
-from pricelens.llm.shingles import SIGNS, word_hashes
+from pricelens.llm.shingles import word_and_prefix_hashes
 
-POSITIVES, UNLABELLED = 2000, 6000
+POSITIVES, UNLABELLED = 1500, 3000
+PREFIXES, LEVELS = (5, 6, 7, 8), 3
 WORDS = 512
-LEAST_SHARE = 0.01
-EPOCHS, RATE, DECAY = 400, 0.1, 1e-4
+LEAST_SHARE, LEAST_GAIN = 0.01, 3.5
+EPOCHS, RATE, DECAY = 400, 0.1, 1e-3
 THRESHOLD = 0.7
 
 
 def features(text: str | None) -> np.ndarray:
-    """Distinct word hashes of a text, sorted."""
-    return np.unique(word_hashes(text, SIGNS))
+    """Distinct feature hashes of a text, sorted."""
+    return word_and_prefix_hashes(text, PREFIXES, LEVELS)
 
 
 class PuModel:
@@ -69,7 +72,8 @@ def fit_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: floa
     hit = words[at] == flat if len(words) else np.zeros(len(flat), bool)
     u = np.bincount(at[hit], minlength=len(words)) / max(1, n_u)
     gain = (p - u) / np.sqrt(p * (1 - p) / n_p + u * (1 - u) / max(1, n_u) + 1e-9)
-    best = np.sort(np.argsort(-gain, kind="stable")[:WORDS])
+    best = np.argsort(-gain, kind="stable")[:WORDS]
+    best = np.sort(best[gain[best] >= LEAST_GAIN])
     words = words[best]
 
     def matrix(rows):
@@ -87,12 +91,12 @@ def fit_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: floa
         gp_minus = np.append(xp.T @ sp, sp.sum()) / n_p
         gu_minus = np.append(xu.T @ su, su.sum()) / n_u
         negative = -np.log1p(-np.minimum(su, 1 - 1e-12)).mean() + prior * np.log1p(-np.minimum(sp, 1 - 1e-12)).mean()
-        grad = prior * gp_plus + (gu_minus - prior * gp_minus) if negative >= 0 else -(gu_minus - prior * gp_minus)
+        grad = prior * gp_plus + (gu_minus - prior * gp_minus if negative >= 0 else 0)
         grad[:-1] += DECAY * w
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad * grad
         move = RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-        w, b = w - move[:-1], b - move[-1]
+        w, b = np.maximum(0, w - move[:-1]), b - move[-1]  # kept words speak for toxicity only
     return PuModel(words, w, float(b))
 
 
@@ -105,8 +109,7 @@ def fit_toxicity(docs: DataFrame, labelled: DataFrame, positives: int = POSITIVE
         return 0.0
     prior = min(0.9, shares[1] / sum(shares.values()))
     toxic = hashed_sample(labelled.filter("label = 1").select("doc_id"), positives)
-    others = docs.select("doc_id").filter("doc_id is not null").distinct().join(
-        labelled.filter("label = 1").select("doc_id"), "doc_id", "left_anti")
+    others = docs.select("doc_id").filter("doc_id is not null").distinct()
     chosen = toxic.withColumn("label", F.lit(1)).unionByName(
         hashed_sample(others, unlabelled).withColumn("label", F.lit(0)))  # at most positives + unlabelled ids
 
