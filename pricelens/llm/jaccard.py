@@ -35,7 +35,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelens.llm.common import min_label_components, table, written
@@ -152,16 +152,22 @@ def _sets(words: int):
     return run
 
 
+def _may_link(t: Fraction) -> Column:
+    """Bounds that every linked pair keeps: sizes, and differences of the bucket
+    counts, which no more than the differing shingles can make."""
+    up, down = t.numerator, t.denominator
+    apart = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.abs(x - y).cast("int")), F.lit(0), lambda s, x: s + x)
+    return ((F.least("na", "nb") * down >= F.greatest("na", "nb") * up)
+            & (apart * (up + down) <= (F.col("na") + F.col("nb")) * (down - up)))
+
+
 def _verified(pairs: DataFrame, reps: DataFrame, src: DataFrame, words: int, t: Fraction) -> DataFrame:
     """The candidate pairs (a, b) that link, on whole shingle sets."""
     up, down = t.numerator, t.denominator
     info = reps.select("rep", "size", "counts")
     near = (pairs.join(info.select(F.col("rep").alias("a"), F.col("size").alias("na"), F.col("counts").alias("ca")), "a")
             .join(info.select(F.col("rep").alias("b"), F.col("size").alias("nb"), F.col("counts").alias("cb")), "b"))
-    apart = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.abs(x - y).cast("int")), F.lit(0), lambda s, x: s + x)
-    near = near.filter((F.least("na", "nb") * down >= F.greatest("na", "nb") * up)
-                       & (apart * (up + down) <= (F.col("na") + F.col("nb")) * (down - up)))
-    near = written(near.select("a", "b", "na", "nb"))
+    near = written(near.filter(_may_link(t)).select("a", "b", "na", "nb"))
     ids = written(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct())
     sets = written(src.join(ids, "doc_id", "left_semi").mapInArrow(_sets(words), "rep long, shingles array<long>")
                    .dropDuplicates(["rep"]))
@@ -208,11 +214,15 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: str = "0.8",
     label = label.join(part.select(F.col("node").alias("hub"), F.col("component_id").alias("h")), "hub", "left")
     label = label.select("sig", "rep", "probe", F.coalesce("c", "rep").alias("c"), F.coalesce("h", "hub").alias("h"))
     outside = written(label.filter("c <> h"))
-    ours = outside.select("sig", F.col("rep").alias("x"), F.col("probe").alias("px"), F.col("c").alias("cx"))
-    rest = (label.join(outside.select("sig").distinct(), "sig", "left_semi")
-            .select("sig", F.col("rep").alias("y"), F.col("probe").alias("py"), F.col("c").alias("cy"), "h"))
-    # within a group every pair of different components, but those with the hub itself, is still open
-    more = (ours.join(rest, "sig").filter("cx <> cy and (px or py)")
+    info = reps.select("rep", "size", "counts")
+    ours = outside.join(info, "rep").select("sig", F.col("rep").alias("x"), F.col("probe").alias("px"),
+                                            F.col("c").alias("cx"), F.col("size").alias("na"), F.col("counts").alias("ca"))
+    rest = (label.join(outside.select("sig").distinct(), "sig", "left_semi").join(info, "rep")
+            .select("sig", F.col("rep").alias("y"), F.col("probe").alias("py"), F.col("c").alias("cy"),
+                    F.col("size").alias("nb"), F.col("counts").alias("cb")))
+    # the bounds are part of the join, so that sets which merely share a segment never become a row
+    more = (ours.join(rest.withColumnRenamed("sig", "s"), (F.col("sig") == F.col("s")) & (F.col("cx") != F.col("cy"))
+                      & (F.col("px") | F.col("py")) & _may_link(t))
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
             .join(star.filter("hub <> rep").select(*pair), ["a", "b"], "left_anti"))
     found = written(_verified(more, reps, src, words, t))
