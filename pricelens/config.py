@@ -51,6 +51,8 @@ UI_RATE = 0.35
 # baseline 3.00..6.00 step 0.05.
 RATE_GRID_CENTS = (0, 100, 1)
 BASELINE_GRID_CENTS = (300, 600, 5)
+# baselines of the registered what-if grids (see plans/registry.py)
+TEST_BASELINE_GRID_CENTS = (50, 300, 5)
 PAGE_SIZE = 5000
 HORIZON_WEEKS = 8
 MAX_TREND_WEEKS = 520
@@ -94,7 +96,6 @@ class Config:
     source_tag: str = "price_api_v2"
     catalog: str = ""  # optional name prefix for the layer databases
     # Largest row count a data-dependent side may have to be broadcast.
-    broadcast_max_rows: int = 100_000
 
     def database(self, layer: str) -> str:
         return f"{self.catalog}_{layer}" if self.catalog else layer

@@ -21,15 +21,15 @@ def round_exact(c: ColumnOrName, scale: int) -> Column:
 
     The double is first brought to 8 decimal places (which absorbs binary
     noise such as 1.00499999... for 1.005), then rounded half-up to
-    ``scale`` places and returned as a double.  ``try_cast`` turns NaN or an
-    out-of-range value into null instead of failing the job under ANSI.
+    ``scale`` places and returned as a double.  NaN and values of 1e29 and more
+    become null (``try_cast``; a plain cast would fail the job under ANSI).
     """
-    return F.round(_c(c).try_cast("decimal(24,8)"), scale).cast("double")
+    return F.round(_c(c).try_cast("decimal(38,8)"), scale).cast("double")
 
 
 def exact_sum(c: ColumnOrName) -> Column:
     """Order-independent sum of a money-like double (decimal accumulation)."""
-    return F.sum(_c(c).try_cast("decimal(24,8)"))
+    return F.sum(_c(c).try_cast("decimal(38,8)"))
 
 
 def exact_mean(c: ColumnOrName) -> Column:

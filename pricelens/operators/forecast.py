@@ -70,18 +70,20 @@ def future_dates(weekly: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 def linear_seasonal_forecast(weekly: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Trend + week-of-year seasonal baseline forecast, history + horizon.
 
-    One pass per series: the horizon dates are appended to the history
-    first (they sort after it, so ``row_number`` continues as n+1..n+8), then
+    One pass per series: the last row of the history opens into itself and
+    the horizon dates (they sort after it, so ``row_number`` continues as n+1..n+8), then
     every statistic is a window aggregate over history values only, all on
     the one ``product`` partitioning: one shuffle, no joins back.
     """
     hist = _history(weekly, cfg)
-    future = (hist.groupBy("product").agg(F.max("price_date").alias("_last"))
-              .select("product", F.lit(None).cast("string").alias("product_name"),
-                      F.explode(future_weeks(F.col("_last"), cfg.horizon_weeks,
-                                             cfg.forecast_weekday)).alias("price_date"),
-                      F.lit(None).cast("double").alias("y")))
-    rows = hist.unionByName(future)
+    is_last = F.lead("price_date").over(Window.partitionBy("product").orderBy("price_date")).isNull()
+    own = F.array(F.struct("price_date", "y", "product_name"))
+    ahead = F.transform(future_weeks(F.col("price_date"), cfg.horizon_weeks, cfg.forecast_weekday),
+                        lambda d: F.struct(d.alias("price_date"), F.lit(None).cast("double").alias("y"),
+                                           F.lit(None).cast("string").alias("product_name")))
+    rows = (hist.filter(F.col("price_date").isNotNull()).withColumn("_last", is_last)
+            .select("product", F.explode(F.when(F.col("_last"), F.concat(own, ahead)).otherwise(own)).alias("r"))
+            .select("product", "r.price_date", "r.y", "r.product_name"))
     by = Window.partitionBy("product")
     season = Window.partitionBy("product", "woy")
     known = F.col("y").isNotNull()
@@ -276,7 +278,14 @@ def forecast_future(forecast: DataFrame) -> DataFrame:
 
 
 def forecast_recent(forecast: DataFrame, as_of=None, days: int = FORECAST_RECENT_DAYS) -> DataFrame:
-    """B-17: every series from ``days`` before ``as_of``, future included."""
+    """B-17: every series from ``days`` before ``as_of``, future included.
+    ``as_of="latest_actual"`` anchors at the newest actual date of all series:
+    a window over a forecast's rows (history and horizon of the forecast
+    series, one row a week), not a second pass."""
+    if isinstance(as_of, str) and as_of == LATEST_ACTUAL:
+        anchor = F.max(F.when(F.col("actual_price").isNotNull(), F.col("price_date"))).over(Window.partitionBy())
+        return (forecast.withColumn("_anchor", anchor).filter(F.col("price_date") >= F.date_sub("_anchor", days))
+                .drop("_anchor").orderBy("product_name", "price_date"))
     lower = F.date_sub(as_of_column(as_of), days)
     return forecast.filter(F.col("price_date") >= lower).orderBy("product_name", "price_date")
 

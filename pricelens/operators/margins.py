@@ -27,29 +27,6 @@ MARGIN_COLUMNS = (
 )
 
 
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast a *narrow* plan ``df`` only if it has at most ``max_rows`` rows.
-
-    The check counts at most ``max_rows + 1`` rows; over a scan-derived
-    plan the limit stops reading early, so a large side costs a few splits,
-    not a pass.  Beyond the bound the side is left to the planner.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def materialized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast the result of a *wide* plan (aggregations, windows) after a
-    size check, computing it once.
-
-    The plan is checkpointed into the shared ``spark.checkpoint.dir`` (a
-    reliable checkpoint, so it also cuts the lineage), counted from the
-    written rows, and broadcast only within the bound.
-    """
-    done = materialize(df)
-    return F.broadcast(done) if done.count() <= max_rows else done
-
-
 def latest_prices(regional: DataFrame, product: str) -> DataFrame:
     """Rows of ``product`` at its latest date over all areas."""
     one = regional.filter(F.col("product") == product)
@@ -63,13 +40,12 @@ def delivery_margins(regional: DataFrame, zones: DataFrame, cfg: Config = DEFAUL
     Zones whose region has no price drop (inner join); duplicate prices fan
     out.  Every output is rounded once from unrounded inputs; the fuel cost
     per delivery is named once and reused.  The price side is one date of
-    one product (bounded by the number of areas): it is computed once,
-    checkpointed, size-checked and broadcast, so the zone table is never
-    shuffled for this join and the upstream is not recomputed for the check.
+    one product (bounded by the number of areas): it is written once to
+    the shared folder, and the planner broadcasts it by its file size, so the
+    zone table is not shuffled for this join.
     """
     zones = require_zone_columns(zones)
-    prices = materialized_broadcast(latest_prices(regional, product or cfg.diesel_product),
-                                    cfg.broadcast_max_rows)
+    prices = materialize(latest_prices(regional, product or cfg.diesel_product))
     joined = zones.join(prices.withColumnRenamed("duoarea", "_price_area"),
                         F.col("padd_region") == F.col("_price_area"), "inner")
     fuel = (F.col("avg_miles_per_delivery") / F.col("fleet_mpg")) * F.col("price_per_gallon")
@@ -139,17 +115,15 @@ def state_bridge(zone_states: DataFrame) -> DataFrame:
     return zone_states.select("duoarea", F.explode("states").alias("state"))
 
 
-def state_rollup(with_status: DataFrame, bridge: DataFrame,
-                 max_broadcast_rows: int = DEFAULT.broadcast_max_rows) -> DataFrame:
+def state_rollup(with_status: DataFrame, bridge: DataFrame) -> DataFrame:
     """B-22: the worst zone (lowest margin %, then zone code) of each state.
 
     A ``min(struct)`` hash aggregation per state: partial aggregates are
     formed map-side, so a state holding a large share of all zones is
-    reduced before the shuffle (no window over a hot state partition).  A
-    small bridge (a lookup of a few zones) is broadcast after a size check;
-    a zone-sized one is joined by a shuffle on the zone code."""
+    reduced before the shuffle (no window over a hot state partition).  The
+    planner picks the join with the bridge by its size."""
     cols = ["duoarea", "zone_name", "margin_pct", "status", "weekly_margin", "diesel_price"]
-    joined = checked_broadcast(bridge, max_broadcast_rows).join(with_status.select(*cols), "duoarea")
+    joined = bridge.join(with_status.select(*cols), "duoarea")
     ranked = F.struct(F.coalesce(F.col("margin_pct"), F.lit(0.0)).alias("_k"),
                       *[F.col(c) for c in cols])
     return (joined.groupBy("state").agg(F.min(ranked).alias("w"))

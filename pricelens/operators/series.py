@@ -20,17 +20,6 @@ from pyspark.sql import functions as F
 from pricelens.config import DEFAULT, Config
 from pricelens.functions.numeric import pct_change, round_exact
 
-WEEKLY_COLUMNS = (
-    "price_date", "product", "product_name", "product_category", "price_per_gallon",
-    "prev_week_price", "wow_change", "wow_pct_change", "avg_4wk", "avg_12wk",
-    "price_4wk_ago", "mom_change",
-)
-REGIONAL_COLUMNS = (
-    "price_date", "product", "product_name", "product_category", "duoarea",
-    "area_name", "price_per_gallon", "prev_week_price", "wow_change",
-)
-
-
 def series_window(keys: Sequence[str], order: str = "price_date"):
     return Window.partitionBy(*keys).orderBy(order)
 
@@ -52,17 +41,13 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], order: str = "price_date"
 
 
 def latest(df: DataFrame, scope: Sequence[str] = (), order: str = "price_date") -> DataFrame:
-    """Rows at the greatest ``order`` value, the maximum taken per ``scope``.
-
-    ``scope=()`` is the table-wide latest (one scalar subquery, no join);
-    with scope columns the maxima are a hash aggregation, one row per scope
-    key, joined back with a left-semi join.
-    """
-    if not scope:
-        return df.filter(F.col(order) == df.agg(F.max(order)).scalar())
-    maxima = df.groupBy(*scope).agg(F.max(order).alias("_latest"))
-    cond = [df[c].eqNullSafe(maxima[c]) for c in scope] + [df[order] == maxima["_latest"]]
-    return df.join(maxima, cond, "left_semi")
+    """Rows at the greatest ``order`` value, the maximum taken per ``scope``
+    (``scope=()``: of the whole table).
+
+    One pass: a rank that is planned as a partial and a final
+    WindowGroupLimit, so every task keeps only its own newest rows before
+    the shuffle.  Rows without an ``order`` value are never the latest."""
+    return newest_rows(df.filter(F.col(order).isNotNull()), scope, 1, order)
 
 
 # Rows one output row of the weekly summary can look back over (12-row mean).

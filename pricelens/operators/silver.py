@@ -34,8 +34,8 @@ def _typed(bronze: DataFrame, cfg: Config) -> DataFrame:
 
 
 def silver_prices(bronze: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """Rename, type, categorise, prune, and drop rows without a price
-    (one projection and one filter)."""
+    """Rename, type, categorise, prune, and drop rows without a price or a
+    date (``silver_rejects`` reports them)."""
     src = {c.replace("-", "_"): F.col(f"`{c}`") for c in bronze.columns}
     typed = {
         "price_date": F.col("period").try_cast("date"),
@@ -43,7 +43,7 @@ def silver_prices(bronze: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
         "product_category": product_category(F.col("product"), cfg),
     }
     return (bronze.select(*[(typed[c] if c in typed else src[c]).alias(c) for c in SILVER_COLUMNS])
-            .filter(F.col("price_per_gallon").isNotNull()))
+            .filter(F.col("price_per_gallon").isNotNull() & F.col("price_date").isNotNull()))
 
 
 def silver_rejects(bronze: DataFrame, cfg: Config = DEFAULT) -> DataFrame:

@@ -21,28 +21,9 @@ from pricelens.sources import adapter, pages
 class Layers:
     """Layer plans over one table directory.
 
-    ``Layers.of(spark, sf_dir)`` returns the session's shared instance, so
-    the (eager, driver-side) analysis of the layer plans happens once per
-    session and directory; every action still runs the whole plan from the
-    files.  ``Layers.forget()`` drops the instances (e.g. after new files
-    were landed in a directory, since a plan keeps its file listing).
+    Nothing is kept between calls: every query plans from the current files.
     """
 
-    _shared: dict[tuple, "Layers"] = {}
-
-    @classmethod
-    def of(cls, spark: SparkSession, sf_dir: str, cfg: Config = DEFAULT,
-           products: tuple[str, ...] | None = None) -> "Layers":
-        key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), cfg, products)
-        inst = cls._shared.get(key)
-        if inst is None:
-            inst = cls._shared[key] = cls(spark, sf_dir, cfg, products=products)
-        return inst
-
-    @classmethod
-    def forget(cls) -> None:
-        cls._shared.clear()
-
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: Config = DEFAULT, as_of=None,
                  products: tuple[str, ...] | None = None):
         """``products``: source-side product facet (default: the ingested
@@ -84,7 +65,6 @@ class Layers:
 
     @cached_property
     def margins(self) -> DataFrame:
-        # built once per session: its broadcast size check is an eager job
         return margins.delivery_margins(self.regional_newest, self.zones, self.cfg)
 
     @cached_property

@@ -407,7 +407,7 @@ def oracle_queries(test_baseline: float, test_rate: float) -> dict[str, str]:
         FROM zones)""")
     q["surcharge_point"] = with_chain(
         f"SELECT {_point_sql('avg_price', _f(test_baseline), _f(test_rate), fleet)} FROM {MEAN_SQL} m")
-    lo_b, hi_b, st_b = C.BASELINE_GRID_CENTS
+    lo_b, hi_b, st_b = C.TEST_BASELINE_GRID_CENTS
     lo_r, hi_r, st_r = C.RATE_GRID_CENTS
     q["surcharge_scenarios"] = with_chain(f"""
       SELECT {_point_sql('avg_price', 'b', 'r', fleet)}

@@ -13,7 +13,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.config import DEFAULT, DEFAULT_TREND_WEEKS, PREVIEW_ROWS, UI_RATE
+from pricelens.config import (
+    DEFAULT,
+    DEFAULT_TREND_WEEKS,
+    PREVIEW_ROWS,
+    TEST_BASELINE_GRID_CENTS,
+    UI_RATE,
+)
 from pricelens.functions.numeric import round_exact
 from pricelens.operators import forecast as fc
 from pricelens.operators import margins as mg
@@ -28,11 +34,10 @@ from pricelens.sources import tables as tb
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
 UPSERT_KEYS = ["period", "product", "duoarea", "series"]
-# The driver tables' diesel prices lie between about 1 and 4 dollars, below
-# the interactive default baseline of 4.50; the registered what-if reads use
-# the lowest baseline of the slider (3.00) so the surcharge arithmetic is
-# exercised, with the default rate.
-TEST_BASELINE = 3.00
+# The driver tables' newest diesel prices lie between about 2 and 15 dollars,
+# mostly below the interactive baselines (3.00 to 6.00); the registered what-if
+# reads use baselines below them, so that the surcharge arithmetic is exercised.
+TEST_BASELINE = 1.00
 TEST_RATE = UI_RATE
 
 
@@ -42,7 +47,7 @@ def register(name: str, scope: str | None = None):
     def deco(fn: Callable[[Layers], DataFrame]) -> Callable[[Layers], DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             products = getattr(DEFAULT, f"{scope}_products") if scope else None
-            return fn(Layers.of(spark, sf_dir, DEFAULT, products))
+            return fn(Layers(spark, sf_dir, DEFAULT, products=products))
         _REGISTRY[name] = run
         return fn
     return deco
@@ -220,7 +225,8 @@ def _surcharge_point(lay: Layers) -> DataFrame:
 
 @register("surcharge_scenarios", "regional")
 def _surcharge_scenarios(lay: Layers) -> DataFrame:
-    return sc.surcharge_scenarios(_diesel_latest(lay), lay.cfg.fleet)
+    return sc.surcharge_scenarios(_diesel_latest(lay), lay.cfg.fleet,
+                                  baseline_cents=TEST_BASELINE_GRID_CENTS)
 
 
 # --- forecasts ------------------------------------------------------------------
@@ -251,8 +257,7 @@ def _forecast_future(lay: Layers) -> DataFrame:
 
 @register("forecast_recent", "forecast")
 def _forecast_recent(lay: Layers) -> DataFrame:
-    f = _baseline(lay)
-    return fc.forecast_recent(f, fc.last_actual_date(f))
+    return fc.forecast_recent(_baseline(lay), fc.LATEST_ACTUAL)
 
 
 def _diesel_window(lay: Layers) -> DataFrame:
@@ -277,7 +282,8 @@ def _surcharge_series(lay: Layers) -> DataFrame:
 
 @register("surcharge_series_grid", "forecast")
 def _surcharge_series_grid(lay: Layers) -> DataFrame:
-    return sc.surcharge_series_grid(fc.forecast_bridge(_diesel_window(lay)), lay.cfg.fleet)
+    return sc.surcharge_series_grid(fc.forecast_bridge(_diesel_window(lay)), lay.cfg.fleet,
+                                    baseline_cents=TEST_BASELINE_GRID_CENTS)
 
 
 def all_queries() -> dict[str, Query]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -40,13 +41,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared file system folder and is used
-    as is.  Only when it is unset (local tests) is a scratch folder created
-    and registered.
+    as is.  Only when it is unset and the master is local is a scratch folder
+    created and registered; elsewhere executors could not see it, so that is
+    an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="pricelens-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -59,9 +63,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df):
-    """Compute ``df`` once into the shared checkpoint folder and return the
-    materialized DataFrame (a reliable checkpoint: it survives lost
-    executors and cuts the lineage).  For small results that several parts
-    of one plan (including scalar subqueries) read."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute ``df`` once into a Parquet folder under the shared checkpoint
+    folder and return it read back: lost executors cost no recomputation,
+    and the planner sizes (and, if small, broadcasts) it from its files.
+    The folder goes when the application ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"materialized-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)

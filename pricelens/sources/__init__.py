@@ -15,7 +15,6 @@ from pricelens.sources.pages import (
 from pricelens.sources.tables import (
     ensure_namespaces,
     keyed_upsert,
-    replace_table,
     require_zone_columns,
     surcharge_config_frame,
     write_table,
@@ -26,6 +25,6 @@ __all__ = [
     "RECORD_SCHEMA", "bronze_records", "flatten_pages", "land_pages",
     "page_offsets", "page_report", "paged_ingest", "parse_page_text",
     "read_pages", "records_to_pages", "ensure_namespaces", "keyed_upsert",
-    "replace_table", "require_zone_columns", "surcharge_config_frame",
+    "require_zone_columns", "surcharge_config_frame",
     "write_table",
 ]

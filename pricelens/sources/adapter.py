@@ -129,21 +129,23 @@ def price_records(spark: SparkSession, sf_dir: str, products=None) -> DataFrame:
     # The supplier join goes to the plain supplier scan, whose size Spark
     # estimates from its files: broadcast when small, sort-merge on the
     # supplier key when large.  (Joining supplier to nation and region first
-    # would give a join-of-joins estimate that never broadcasts.)  nation
-    # (25 rows) and region (5 rows) are fixed-size and broadcast.
+    # would give a join-of-joins estimate that never broadcasts.)  The same
+    # holds for nation and region.
     suppliers = supplier.select("s_suppkey", "s_nationkey")
     # Both key maps are resolved before aggregating, so the aggregation key
     # is (product, region, week): partial aggregation collapses the line
-    # items map-side and only a few rows per task reach the shuffle.  One
-    # GROUPING SETS aggregation yields the regional rows and the national
-    # row (all regions) from a single scan and a single shuffle.
+    # items map-side and only a few rows per task reach the shuffle.  The
+    # national row (all regions) is then folded from the few regional rows;
+    # the integer sums make that exact.
     joined = (items.join(products, items.l_partkey == products.p_partkey)
               .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-              .join(F.broadcast(nation.select("n_nationkey", "n_regionkey")),
+              .join(nation.select("n_nationkey", "n_regionkey"),
                     F.col("s_nationkey") == F.col("n_nationkey"))
-              .join(F.broadcast(region.select("r_regionkey", "r_name")),
+              .join(region.select("r_regionkey", "r_name"),
                     F.col("n_regionkey") == F.col("r_regionkey")))
-    sets = joined.groupingSets(
+    regional = (joined.groupBy("pcode", "r_regionkey", "r_name", "week")
+                .agg(F.sum("cents").alias("cents"), F.sum("qty").alias("qty")))
+    sets = regional.groupingSets(
         [["pcode", "r_regionkey", "r_name", "week"], ["pcode", "week"]],
         "pcode", "r_regionkey", "r_name", "week",
     ).agg(F.sum("cents").alias("cents"), F.sum("qty").alias("qty"),
@@ -189,7 +191,7 @@ def delivery_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     return (
         customer.select("c_custkey", "c_name", "c_nationkey")
-        .join(F.broadcast(nation.select("n_nationkey", "n_regionkey")),
+        .join(nation.select("n_nationkey", "n_regionkey"),
               F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             F.concat(F.lit("Z"), k.cast("string")).alias("duoarea"),

@@ -56,21 +56,6 @@ def write_table(df: DataFrame, name: str, evolve: bool = False,
     return int(obs.get["rows"])
 
 
-def replace_table(df: DataFrame, name: str) -> int:
-    """Overwrite a table that ``df`` itself reads: write a staging table
-    first, then swap it in (a parquet table cannot be overwritten while it
-    is being read)."""
-    spark = df.sparkSession
-    staging = f"{name}__staging"
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    rows = write_table(df, staging, evolve=True)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
-    # same path, new files: drop any cached listing of the old ones
-    spark.catalog.refreshTable(name)
-    return rows
-
-
 def merge_partitions(updates: DataFrame, table: str, keys: list[str], partition_col: str,
                      order_col: str = "_ingested_at") -> int:
     """Keyed upsert of ``updates`` into a table partitioned by
@@ -81,11 +66,20 @@ def merge_partitions(updates: DataFrame, table: str, keys: list[str], partition_
     a staging table; the staging rows then replace exactly those partitions
     (dynamic partition overwrite).  Untouched partitions are never read or
     written, so the cost follows the batch, not the table.
+
+    A table partitioned otherwise is refused: overwriting its partitions
+    would remove rows that the batch does not replace.  Versions of a key
+    within one batch, the first one included, are merged by the same rule
+    (the greatest ``order_col``, then the greatest remaining fields).
     """
     spark = updates.sparkSession
     if not spark.catalog.tableExists(table):
-        return write_table(updates, table, evolve=True, partition_by=[partition_col])
+        first = keyed_upsert(updates.limit(0), updates, keys, order_col)
+        return write_table(first, table, evolve=True, partition_by=[partition_col])
     spark.catalog.refreshTable(table)
+    split = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if split != [partition_col]:
+        raise ValueError(f"{table} is partitioned by {split}, not by {partition_col}")
     current = spark.table(table)
     touched = updates.select(partition_col).distinct()
     affected = current.join(touched, partition_col, "left_semi")

@@ -10,11 +10,12 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import compare, duck  # noqa: E402
+from pricelens.plans.registry import all_queries  # noqa: E402
 
 from conftest import SF_SMALL  # noqa: E402
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = all_queries()  # the optional training-data queries have their own tests
+SQL = {k: v for k, v in E.oracle_sql().items() if k in QUERIES}
 
 
 def test_entry_runs_with_stable_schema(spark):
@@ -25,7 +26,7 @@ def test_entry_runs_with_stable_schema(spark):
 
 def test_every_query_has_an_oracle_except_the_model():
     assert set(QUERIES) - set(SQL) == {"forecast_additive"}
-    assert set(SQL) <= set(QUERIES)
+    assert set(SQL) <= set(QUERIES) <= set(E.queries())
 
 
 @pytest.fixture(scope="module")

@@ -6,33 +6,11 @@ import os
 
 from pyspark.sql import functions as F
 
-from pricelens.operators.margins import checked_broadcast, materialized_broadcast
 from pricelens.session import checkpoint_dir
 from pricelens.sources import tables as tb
 
 
 
-def test_broadcast_only_within_the_bound(spark):
-    small = spark.range(10).withColumnRenamed("id", "k")
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    fact = spark.range(5000).select((F.col("id") % 1000).alias("k"))
-    plan_small = fact.join(checked_broadcast(small, 100), "k")._jdf.queryExecution().sparkPlan().toString()
-    plan_big = fact.join(checked_broadcast(big, 100), "k")._jdf.queryExecution().sparkPlan().toString()
-    assert "BroadcastHashJoin" in plan_small
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan_big = fact.join(checked_broadcast(big, 100), "k")._jdf.queryExecution().sparkPlan().toString()
-        assert "BroadcastHashJoin" not in plan_big  # over the bound: left to the planner
-        wide = big.groupBy("k").count()
-        m = materialized_broadcast(wide, 100)
-        assert m.count() == 1000
-        assert "BroadcastHashJoin" not in fact.join(m, "k")._jdf.queryExecution().sparkPlan().toString()
-        m2 = materialized_broadcast(small.groupBy("k").count(), 100)
-        assert "BroadcastHashJoin" in fact.join(m2, "k")._jdf.queryExecution().sparkPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_checkpoint_dir_reads_the_session_setting(spark):
     path = checkpoint_dir(spark)
     assert spark.conf.get("spark.checkpoint.dir") == path
