@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import math
 import re
+import string
 from bisect import bisect_left
 
 import numpy as np
@@ -48,12 +49,14 @@ SHINGLE = 5
 BLOCK = 64
 PART_BYTES = 32 << 20
 MEMO = 400_000
+ASCII_SIGNS = string.punctuation
 SIGNS = re.compile(r"[\W_]+")
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
 def clean(word: str) -> str:
-    return SIGNS.sub("", word.lower())
+    word = word.lower().strip(ASCII_SIGNS)
+    return word if word.isalnum() else SIGNS.sub("", word)
 
 
 def clean_words(text: str) -> list[str]:
