@@ -16,7 +16,8 @@ small that unrelated sets share them), with some segments to spare.
 * Cost-based allocation: group sizes of all signatures are counted, and each set
   leaves out its most frequent segments, as many as its own H can spare.
 * In a signature's group, members are paired with one probing hub, not with each
-  other.  After verification the members that the hub did not take into its
+  other, and a member first with the hub it shares most signatures with.  After
+  verification the members that the hub did not take into its
   component are paired with the members of other components in the group, so no
   link between different components is lost and no group emits all its pairs.
 * Pairs are cut by size and by 32 bucket counts (a lower bound of the
@@ -207,7 +208,11 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: str = "0.8",
     star = written(rows.withColumns({"hub": F.first("rep").over(order), "asked": F.first("probe").over(order)})
                    .filter("asked").select("sig", "hub", "rep", "probe"))
     pair = [F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")]
-    links = written(_verified(star.filter("hub <> rep").select(*pair).distinct(), reps, src, words, t))
+    # first the hub with which a member shares most signatures: one pair for each member
+    shares = star.filter("hub <> rep").groupBy("rep", "hub").agg(F.count("*").alias("k"))
+    best = shares.groupBy("rep").agg(F.max(F.struct("k", (-F.col("hub")).alias("h"))).alias("m"))
+    tested = written(best.select((-F.col("m.h")).alias("hub"), "rep").select(*pair).distinct())
+    links = written(_verified(tested, reps, src, words, t))
     part = written(min_label_components(links))
     # members that their hub's component did not take in
     label = star.join(part.select(F.col("node").alias("rep"), F.col("component_id").alias("c")), "rep", "left")
@@ -224,7 +229,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: str = "0.8",
     more = (ours.join(rest.withColumnRenamed("sig", "s"), (F.col("sig") == F.col("s")) & (F.col("cx") != F.col("cy"))
                       & (F.col("px") | F.col("py")) & _may_link(t))
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-            .join(star.filter("hub <> rep").select(*pair), ["a", "b"], "left_anti"))
+            .join(tested, ["a", "b"], "left_anti"))
     found = written(_verified(more, reps, src, words, t))
     graph = links.unionByName(found)
     whole = min_label_components(graph).withColumnRenamed("node", "rep")
