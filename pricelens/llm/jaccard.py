@@ -16,7 +16,8 @@ small that unrelated sets share them), with some segments to spare.
 * Cost-based allocation: group sizes of all signatures are counted, and each set
   leaves out its most frequent segments, as many as its own H can spare.
 * In a signature's group, members are paired with one probing hub, not with each
-  other, and a member first with the hub it shares most signatures with.  After
+  other, and a member first with the hub it shares most signatures with.  The
+  hub is the member that meets the most others over all its signatures.  After
   verification the members that the hub did not take into its
   component are paired with the members of other components in the group, so no
   link between different components is lost and no group emits all its pairs.
@@ -201,10 +202,14 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: str = "0.8",
     costly = (Window.partitionBy("rep").orderBy(F.col("n").desc(), "sig")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     spare, weight = F.floor(F.col("role") / 3), F.col("role") % 3
-    probing = shared.filter("role >= 0").withColumn("spent", F.sum(weight).over(costly))
-    rows = (probing.select("rep", "sig", ((F.col("spent") > spare) | (weight == 0)).alias("probe"))
-            .unionByName(shared.filter("role < 0").select("rep", "sig", F.lit(False).alias("probe"))))
-    order = group.orderBy(F.col("probe").desc(), "rep").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # a set that meets many others is the likelier middle of its near copies
+    probing = shared.filter("role >= 0").withColumns({"spent": F.sum(weight).over(costly),
+                                                      "met": F.sum("n").over(Window.partitionBy("rep"))})
+    rows = (probing.select("rep", "sig", ((F.col("spent") > spare) | (weight == 0)).alias("probe"), "met")
+            .unionByName(shared.filter("role < 0").select("rep", "sig", F.lit(False).alias("probe"),
+                                                          F.lit(0).cast("long").alias("met"))))
+    order = (group.orderBy(F.col("probe").desc(), F.col("met").desc(), "rep")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     star = written(rows.withColumns({"hub": F.first("rep").over(order), "asked": F.first("probe").over(order)})
                    .filter("asked").select("sig", "hub", "rep", "probe"))
     pair = [F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")]
