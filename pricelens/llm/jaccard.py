@@ -21,8 +21,9 @@ small that unrelated sets share them), with some segments to spare.
   verification the members that the hub did not take into its
   component are paired with the members of other components in the group, so no
   link between different components is lost and no group emits all its pairs.
-* Pairs are cut by size and by 32 bucket counts (a lower bound of the
-  difference), then verified exactly on the whole shingle sets.
+* Pairs are cut by size and by an odd sketch (a bit for each hash bucket, set
+  where it holds an odd number of shingles: two sets differ in at least as many
+  shingles as bits), then verified exactly on the whole shingle sets.
 
 Sets are compared as 64-bit shingle hashes.  Null and empty texts and texts
 without words have no shingles and link with nothing.  Rows with a null id have
@@ -47,7 +48,7 @@ SPARE = 0.1
 SMALL_SEGMENT_COST = 5.0
 SEEN = 500_000
 BAND_RATIO = 1.5
-BINS = 32
+SKETCH_WORDS = 16  # 64 bits each
 
 
 def most_different(size: int, t: Fraction) -> int:
@@ -116,7 +117,7 @@ def signatures(h: np.ndarray, plans) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def _sign(words: int, t: Fraction):
-    """(doc_id, text) -> doc_id, size, digest, bucket counts, signatures."""
+    """(doc_id, text) -> doc_id, size, digest, odd sketch, signatures."""
     def run(batches):
         plans: dict[int, list] = {}
         seen: set[bytes] = set()
@@ -127,7 +128,8 @@ def _sign(words: int, t: Fraction):
                 with np.errstate(over="ignore"):
                     digest = (int(h.sum(dtype=np.uint64)).to_bytes(8, "little")
                               + int(mix(h ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)).to_bytes(8, "little"))
-                    counts = np.minimum(np.bincount((mix(h) >> np.uint64(59)).astype(np.int64), minlength=BINS), 255)
+                    bucket = (mix(h) >> np.uint64(32)) * np.uint64(64 * SKETCH_WORDS) >> np.uint64(32)
+                    odd = np.packbits(np.bincount(bucket.astype(np.int64), minlength=64 * SKETCH_WORDS) & 1).view(np.int64)
                 if len(h) not in plans:
                     plans[len(h)] = schemes(len(h), t)
                 signed = None
@@ -137,12 +139,12 @@ def _sign(words: int, t: Fraction):
                     seen.add(digest)
                     sig, weight, spare = signatures(h, plans[len(h)])
                     signed = (sig, np.where(spare < 0, -1, 3 * spare + weight).astype(np.int32))
-                for c, v in zip(cols, (len(h), digest, counts.astype(np.int16), *(signed or (None, None))), strict=True):
+                for c, v in zip(cols, (len(h), digest, odd, *(signed or (None, None))), strict=True):
                     c.append(v)
-            kinds = (pa.int64(), pa.binary(), pa.list_(pa.int16()), pa.list_(pa.int64()), pa.list_(pa.int32()))
+            kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]],
-                ["doc_id", "size", "digest", "counts", "sig", "role"])
+                ["doc_id", "size", "digest", "odd", "sig", "role"])
     return run
 
 
@@ -155,10 +157,10 @@ def _sets(words: int):
 
 
 def _may_link(t: Fraction) -> Column:
-    """Bounds that every linked pair keeps: sizes, and differences of the bucket
-    counts, which no more than the differing shingles can make."""
+    """Bounds that every linked pair keeps: sizes, and the bits in which the odd
+    sketches differ, each the work of a differing shingle."""
     up, down = t.numerator, t.denominator
-    apart = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.abs(x - y).cast("int")), F.lit(0), lambda s, x: s + x)
+    apart = sum((F.bit_count(F.col("oa")[k].bitwiseXOR(F.col("ob")[k])) for k in range(SKETCH_WORDS)), F.lit(0))
     return ((F.least("na", "nb") * down >= F.greatest("na", "nb") * up)
             & (apart * (up + down) <= (F.col("na") + F.col("nb")) * (down - up)))
 
@@ -166,9 +168,9 @@ def _may_link(t: Fraction) -> Column:
 def _verified(pairs: DataFrame, reps: DataFrame, src: DataFrame, words: int, t: Fraction) -> DataFrame:
     """The candidate pairs (a, b) that link, on whole shingle sets."""
     up, down = t.numerator, t.denominator
-    info = reps.select("rep", "size", "counts")
-    near = (pairs.join(info.select(F.col("rep").alias("a"), F.col("size").alias("na"), F.col("counts").alias("ca")), "a")
-            .join(info.select(F.col("rep").alias("b"), F.col("size").alias("nb"), F.col("counts").alias("cb")), "b"))
+    info = reps.select("rep", "size", "odd")
+    near = (pairs.join(info.select(F.col("rep").alias("a"), F.col("size").alias("na"), F.col("odd").alias("oa")), "a")
+            .join(info.select(F.col("rep").alias("b"), F.col("size").alias("nb"), F.col("odd").alias("ob")), "b"))
     near = written(near.filter(_may_link(t)).select("a", "b", "na", "nb"))
     ids = written(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct())
     sets = written(src.join(ids, "doc_id", "left_semi").mapInArrow(_sets(words), "rep long, shingles array<long>")
@@ -185,13 +187,13 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: str = "0.8",
     links), representative (smallest id with the same shingle set)."""
     t = Fraction(threshold)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = written(src.mapInArrow(_sign(words, t), "doc_id long, size long, digest binary, counts array<short>, "
+    signed = written(src.mapInArrow(_sign(words, t), "doc_id long, size long, digest binary, odd array<long>, "
                                     "sig array<long>, role array<int>"))
     per_set = signed.filter("size > 0 and doc_id is not null")
     # a set is known by the smallest id that was signed; least is its smallest id of all
     reps = written(per_set.groupBy("size", "digest").agg(
         F.min(F.when(F.col("sig").isNotNull(), F.col("doc_id"))).alias("rep"), F.min("doc_id").alias("least"),
-        F.first("counts").alias("counts")))
+        F.first("odd").alias("odd")))
     rows = (per_set.filter("sig is not null")
             .select(F.col("doc_id").alias("rep"), F.explode(F.arrays_zip("sig", "role")).alias("s"))
             .select("rep", "s.sig", "s.role"))
@@ -224,12 +226,12 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: str = "0.8",
     label = label.join(part.select(F.col("node").alias("hub"), F.col("component_id").alias("h")), "hub", "left")
     label = label.select("sig", "rep", "probe", F.coalesce("c", "rep").alias("c"), F.coalesce("h", "hub").alias("h"))
     outside = written(label.filter("c <> h"))
-    info = reps.select("rep", "size", "counts")
+    info = reps.select("rep", "size", "odd")
     ours = outside.join(info, "rep").select("sig", F.col("rep").alias("x"), F.col("probe").alias("px"),
-                                            F.col("c").alias("cx"), F.col("size").alias("na"), F.col("counts").alias("ca"))
+                                            F.col("c").alias("cx"), F.col("size").alias("na"), F.col("odd").alias("oa"))
     rest = (label.join(outside.select("sig").distinct(), "sig", "left_semi").join(info, "rep")
             .select("sig", F.col("rep").alias("y"), F.col("probe").alias("py"), F.col("c").alias("cy"),
-                    F.col("size").alias("nb"), F.col("counts").alias("cb")))
+                    F.col("size").alias("nb"), F.col("odd").alias("ob")))
     # the bounds are part of the join, so that sets which merely share a segment never become a row
     more = (ours.join(rest.withColumnRenamed("sig", "s"), (F.col("sig") == F.col("s")) & (F.col("cx") != F.col("cy"))
                       & (F.col("px") | F.col("py")) & _may_link(t))
