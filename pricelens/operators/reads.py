@@ -7,7 +7,8 @@ B-23, B-24, B-30, B-31).
   area drops out);
 * the notebook check: latest over both regional products, then one product
   (may be empty).
-Each is a scalar subquery (partial + final aggregate), never a collect.
+Each is a rank that is cut inside every task before the shuffle (one pass,
+never a collect).
 """
 
 from __future__ import annotations
@@ -88,7 +89,7 @@ def regional_latest(regional: DataFrame, product: str = DEFAULT.diesel_product,
 def regional_latest_each(regional: DataFrame, products: list[str] | None = None,
                          cfg: Config = DEFAULT) -> DataFrame:
     """B-10 for several products at once: each product at its own latest
-    date (one aggregation per product, semi-joined), national row excluded."""
+    date, in one pass, national row excluded."""
     wanted = [validate_product(p, cfg) for p in (products or cfg.regional_products)]
     some = regional.filter(F.col("product").isin(wanted))
     return (latest(some, ["product"])
@@ -100,8 +101,7 @@ def regional_latest_each(regional: DataFrame, products: list[str] | None = None,
 def regional_latest_global(regional: DataFrame, product: str = DEFAULT.diesel_product) -> DataFrame:
     """B-11: one product at the table-wide latest date, cheapest first
     (empty when that product lags the other)."""
-    at_latest = regional.filter(F.col("price_date") == regional.agg(F.max("price_date")).scalar())
-    return (at_latest.filter(F.col("product") == product)
+    return (latest(regional).filter(F.col("product") == product)
             .orderBy("price_per_gallon", "duoarea"))
 
 

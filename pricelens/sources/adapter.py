@@ -16,13 +16,11 @@ first, so the one aggregation runs on (product, region, week), a key with a
 few thousand values: partial aggregation reduces every scan task to a few
 rows before the only shuffle of line-item-derived data.  Aggregating on
 (product, supplier, week) first would not reduce TPC-H-shaped data (well
-under one line item per supplier-week).  The nation and region tables are
-fixed-size (25 and 5 rows by the TPC-H definition) and are broadcast; part
-and supplier grow with the data and are left to the planner (sort-merge on
-the part / supplier key, or AQE's runtime broadcast when small; AQE
-skew-join splits a hot part or supplier key).  The national row comes from
-the same aggregation as a second grouping set, so a filter on the area
-(national only, one region) never forks the plan into two scans.
+under one line item per supplier-week).  Every join is left to the planner
+(broadcast by file size, sort-merge on the key, or AQE's runtime broadcast;
+AQE skew-join splits a hot part or supplier key).  The national row is a
+second grouping over the few aggregated regional rows, so a filter on the
+area (national only, one region) never forks the plan into two scans.
 """
 
 from __future__ import annotations

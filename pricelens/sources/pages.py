@@ -114,12 +114,21 @@ def require_complete(pages: DataFrame) -> dict:
     """Fail when the pages hold fewer distinct records than they declare
     (a lost or short page), instead of loading a silent subset.  Returns
     the one-row page report as a dict."""
+    require_readable(pages)
     report = page_report(pages).first().asDict()
     if report["missing"] is None or report["missing"] > 0:
         raise ValueError(f"incomplete page set: {report}")
     return report
 
 
+def require_readable(pages: DataFrame) -> None:
+    """Fail when a page has no record array: a truncated or foreign document
+    parses to nulls and its records would vanish without an error."""
+    broken = pages.filter(F.col("response.data").isNull()).count()
+    if broken:
+        raise ValueError(f"{broken} landed pages cannot be read")
+
+
 def bronze_records(records: DataFrame, cfg: Config = DEFAULT, as_of=None,
                    source: str | None = None, dedupe: bool = True) -> DataFrame:
     """Raw records -> bronze rows: tracked products only, exact copies from

@@ -7,6 +7,8 @@ tracked products and merged into the bronze table by record key (the newer
 load wins).  The stream's checkpoint lives under the shared
 ``spark.checkpoint.dir``, so a restarted or failed run resumes with the
 files it has not yet committed; re-running a batch gives the same table.
+A page that cannot be read whole (truncated, not JSON, no record array) stops
+the stream before its batch is merged.
 """
 
 from __future__ import annotations
@@ -44,12 +46,13 @@ def stream_pages_to_bronze(spark: SparkSession, landing_dir: str, cfg: Config =
     reader = spark.readStream.schema(pg.PAGE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    records = pg.flatten_pages(reader.json(landing_dir))
+    landed = reader.json(landing_dir)
 
     def each_batch(batch: DataFrame, _epoch: int) -> None:
-        merge_into_bronze(batch, table, cfg)
+        pg.require_readable(batch)
+        merge_into_bronze(pg.flatten_pages(batch), table, cfg)
 
-    return (records.writeStream.foreachBatch(each_batch)
+    return (landed.writeStream.foreachBatch(each_batch)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start())

@@ -7,6 +7,7 @@ import shutil
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from pricelens.config import Config
@@ -59,6 +60,21 @@ def test_first_batch_is_merged_by_key_and_other_layouts_are_refused(spark):
     assert spark.table("bronze.t_flat").count() == 3
 
 
+def test_a_truncated_page_stops_the_stream(spark, tmp_dir):
+    cfg = Config(catalog="t_cut")
+    landing = os.path.join(tmp_dir, "landing_cut")
+    pages.land_pages(pages.records_to_pages(adapter.price_records(spark, SF_SMALL), 2000), landing)
+    part = sorted(f for f in os.listdir(landing) if f.startswith("part-") and os.path.getsize(f"{landing}/{f}"))[0]
+    with open(f"{landing}/cut.json", "w") as f:
+        f.write(open(f"{landing}/{part}").readline()[:500])
+    q = stream_pages_to_bronze(spark, landing, cfg, checkpoint=os.path.join(tmp_dir, "ck_cut"))
+    with pytest.raises(StreamingQueryException):
+        q.awaitTermination()
+    assert not spark.catalog.tableExists(cfg.table("bronze", "fuel_prices_raw"))
+    with pytest.raises(ValueError):
+        pages.require_complete(pages.read_pages(spark, landing))
+
+
 def test_latest_is_one_pass_and_ignores_missing_dates(spark):
     df = silver_df(spark, silver_rows("EPMR", [1.0, 2.0]) + silver_rows("EPMP", [5.0]))
     assert {r.price_per_gallon for r in series.latest(df).collect()} == {2.0}
