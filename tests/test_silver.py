@@ -20,7 +20,7 @@ def test_silver_types_categorises_and_drops(spark):
         rec("2024-01-01", "EPD2D", "3.5"),
         rec("2024-01-08", "EPMR", None),          # null value: dropped
         rec("2024-01-15", "EPMR", "n/a"),         # unparsable: dropped
-        rec("2026-13-01", "EPMR", "2.5"),         # bad date: kept, date null
+        rec("2026-13-01", "EPMR", "2.5"),         # bad date: dropped, a reject
         rec("2024-01-22", None, "2.75"),          # null product: Gasoline
         rec("2024-01-29", "EPD2DXL0", " 3.0 "),
     ]
@@ -28,7 +28,6 @@ def test_silver_types_categorises_and_drops(spark):
     assert tuple(out[0].asDict()) == SILVER_COLUMNS
     got = [(r.price_date, r.product, r.product_category, r.price_per_gallon) for r in out]
     assert got == [
-        (None, "EPMR", "Gasoline", 2.5),
         (dt.date(2024, 1, 22), None, "Gasoline", 2.75),
         (dt.date(2024, 1, 29), "EPD2DXL0", "Diesel", 3.0),
         (dt.date(2024, 1, 1), "EPD2D", "Diesel", 3.5),
