@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pricelens.llm import bpe, cover_tree, decontamination, jaccard, line_dedup, quality, sharding, token_counts, toxicity, url_filters
+from pricelens.llm import (
+    bpe, cover_tree, decontamination, hard_negatives, jaccard, line_dedup, quality, sharding, token_counts, toxicity, url_filters)
 
 
 def llm_queries() -> dict:
@@ -17,8 +18,10 @@ def llm_queries() -> dict:
         "op7_sharding": sharding.op7_sharding,
         "op9_bpe": bpe.op9_bpe,
         "op10_url_filters": url_filters.op10_url_filters,
+        "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     }
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.SQL, "op10_url_filters": url_filters.SQL}
+    return {"op1_line_dedup": line_dedup.SQL, "op10_url_filters": url_filters.SQL,
+            "op12_hard_negatives": hard_negatives.SQL}
