@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,18 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shared(spark: SparkSession, value):
+    """``value`` broadcast as bytes; call the result in a task to get it back.
+    Classes of this package travel by value inside the bytes, so executors
+    need no installed copy of it.  Only for values of bounded size."""
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def get():
+        import pickle
+        return pickle.loads(held.value)
+    return get
+
+
 def lanes(spark: SparkSession, per_partition: int = 1) -> int:
     """A number of salts that follows the session's shuffle partitions."""
     return max(1, per_partition * int(spark.conf.get("spark.sql.shuffle.partitions")))

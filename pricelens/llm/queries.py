@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pricelens.llm import (
-    bpe, cover_tree, decontamination, hard_negatives, jaccard, line_dedup, quality, sharding, token_counts, toxicity, url_filters)
+    bpe, cover_tree, decontamination, hard_negatives, jaccard, language_id, line_dedup, quality,
+    sharding, token_counts, toxicity, url_filters)
 
 
 def llm_queries() -> dict:
@@ -18,6 +19,7 @@ def llm_queries() -> dict:
         "op7_sharding": sharding.op7_sharding,
         "op9_bpe": bpe.op9_bpe,
         "op10_url_filters": url_filters.op10_url_filters,
+        "op11_language_id": language_id.op11_language_id,
         "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     }
 
