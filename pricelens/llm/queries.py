@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pricelens.llm import (
     bpe, cover_tree, decontamination, hard_negatives, jaccard, language_id, line_dedup, quality,
-    sharding, token_counts, toxicity, url_filters)
+    sharding, spelling, token_counts, toxicity, url_filters)
 
 
 def llm_queries() -> dict:
@@ -21,6 +21,7 @@ def llm_queries() -> dict:
         "op10_url_filters": url_filters.op10_url_filters,
         "op11_language_id": language_id.op11_language_id,
         "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+        "op13_spelling": spelling.op13_spelling,
     }
 
 
