@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from pricelens.llm.common import UPPER, table, written
 
 GROUP_ROWS, GROUP_CHARS = 20_000, 4_000_000
+DEEP = 400  # beyond this word length rests are walked with a stack and not kept
 LETTERS = r"A-Za-zÀ-ÿ"  # fixed by the contract of the query
 MISSPELT, LEAST_LENGTH, LEAST_COUNT, FORM_FACTOR = 97, 5, 3, 2
 
@@ -56,6 +57,7 @@ class Acceptor:
         self.final, self.arcs, self.register = [], [], {}
         self.shared: dict[tuple[int, int], list[str]] = {}
         self.rests: dict[int, list[str]] = {}
+        self.longest = 0
 
     def _state(self, final: bool, arcs: tuple) -> int:
         key = (final, arcs)
@@ -77,6 +79,7 @@ class Acceptor:
                 final, arcs = path.pop()
                 path[-1][1].append((chars.pop(), self._state(final, tuple(arcs))))
         for w in words:
+            self.longest = max(self.longest, len(w))
             same = 0
             while same < len(chars) and same < len(w) and chars[same] == w[same]:
                 same += 1
@@ -100,6 +103,8 @@ class Acceptor:
 
     def common(self, s: int, t: int) -> list[str]:
         """All words accepted from both states."""
+        if self.longest > DEEP:
+            return self._walked(s, t)
         if s == t:
             return self.rest(s)
         key = (s, t) if s < t else (t, s)
@@ -113,6 +118,16 @@ class Acceptor:
             self.shared[key] = got
         return got
 
+    def _walked(self, s: int, t: int) -> list[str]:
+        got, todo = [], [("", s, t)]
+        while todo:
+            x, s, t = todo.pop()
+            if self.final[s] and self.final[t]:
+                got.append(x)
+            a, b = self.arcs[s], self.arcs[t]
+            todo += [(x + c, a[c], b[c]) for c in a if c in b]
+        return got
+
 
 def near_middles(short: list[str], long: list[str], positions: int, at_end: bool):
     """Pairs (u, v) of middles that first differ at one of the first
