@@ -10,7 +10,8 @@ Words: the text in lower case, cut to maximal runs of letters and marks, each
 with the word mark U+2581 in front.  No piece has the mark after another
 character, so a sum over the segmentations of a text factors into its words.
 A run of more than ``LONGEST`` characters is scored as several words of at most
-that many.  A character that no piece covers counts as an unknown piece.
+that many.  A character that no piece covers counts as an unknown piece.  No piece
+is less likely than e^``LEAST``.
 
 Learning covers every row to learn from, not a sample.  One map pass counts
 the words of each record batch and one aggregation adds them to
@@ -22,7 +23,7 @@ vocabulary size x languages, bounded by ``MODEL_CELLS`` (beyond it the fit
 raises).  Piece probabilities are smoothed towards the mean over all languages.
 
 All dynamic programming runs for the distinct words of a record batch at once,
-level by level over the end position, in logarithms.
+level by level over the position, on scaled probabilities.
 
 Defined results.  Null texts and texts without a letter: ``und``, score 0.  No
 row to learn from: ``und``, score 0, for all.  Equal posteriors: the smallest
@@ -33,6 +34,8 @@ whole, in slices of rows of at most about ``SLICE_CHARS`` characters.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -42,7 +45,8 @@ from pyspark.sql import functions as F
 from pricelens.llm.common import held_out, shared, table, written
 from pricelens.llm.token_counts import BLANK, read_pieces
 
-LONGEST = 64
+LONGEST = 32
+PER_CHAR, LEAST = 5.0, -23.0
 ROUNDS = 3
 SMOOTHING = 50.0  # uses of the mean over the languages that are added to each language's counts
 FLAT = 1e-7       # share of the flat distribution in that mean
@@ -82,75 +86,86 @@ def row_slices(texts: pa.Array, most: int = SLICE_CHARS):
 
 
 class Pieces:
-    """All occurrences of vocabulary pieces in many words."""
+    """All occurrences of vocabulary pieces in many words.  Pieces of two or
+    more characters come from an Aho-Corasick automaton, those of one from a
+    table by code point (the unknown piece where there is none)."""
 
     def __init__(self, pieces: list[str]):
         import ahocorasick
         self.auto = ahocorasick.Automaton()
+        self.unknown = len(pieces)
+        self.single = np.full(0x110000, self.unknown, np.int64)
         for k, p in enumerate(pieces):
             if BLANK in p.lstrip(BLANK):
                 raise ValueError(f"piece {p!r} has a word mark after another character")
-            self.auto.add_word(p, (len(p), k))
+            if len(p) == 1:
+                self.single[ord(p)] = k
+            elif p:
+                self.auto.add_word(p, k << 16 | len(p))
         self.auto.make_automaton()
-        self.single = {p for p in pieces if len(p) == 1}
-        self.unknown = len(pieces)  # the number of the unknown piece
+        self.sizes = np.array([*map(len, pieces), 1], float)
 
-    def lattice(self, words: list[str]):
-        """The words side by side as one string of positions: (start, end,
-        piece) of every match, sorted by end; first and last position of each
-        word; depth of each position in its word."""
+    def lattice(self, words: list[str]) -> Lattice:
         marked = [BLANK + w for w in words]
         joined = "".join(marked)  # a piece has the mark only in front, so none crosses a word
-        found = [(e, *m) for e, m in self.auto.iter(joined)]
-        lone = [(k, 1, self.unknown) for k, c in enumerate(joined) if c not in self.single]
-        hit = np.array(found + lone, np.int64).reshape(-1, 3)
-        sizes = np.array([len(w) for w in marked], np.int64)
-        first = np.cumsum(sizes + 1) - sizes - 1  # a word of n characters has n + 1 positions
-        word = np.repeat(np.arange(len(words)), sizes)
-        end = hit[:, 0] + 1 + word[hit[:, 0]]
-        hit = np.column_stack((end - hit[:, 1], end, hit[:, 2]))
-        hit = hit[np.argsort(hit[:, 1], kind="stable")]
-        depth = np.arange(int((sizes + 1).sum())) - np.repeat(first, sizes + 1)
-        return hit, first, first + sizes, depth
-
-
-def _log_sums(values: np.ndarray, into: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """log-sum-exp of rows by ``into`` (sorted): (targets, sums)."""
-    cut = np.flatnonzero(np.append(True, into[1:] != into[:-1]))
-    top = np.maximum.reduceat(values, cut)
-    with np.errstate(divide="ignore"):
-        return into[cut], top + np.log(np.add.reduceat(np.exp(values - np.repeat(top, np.diff(np.append(cut, len(into))), axis=0)), cut))
-
-
-def _levels(at: np.ndarray):
-    """Match numbers grouped by a level, in rising order of the level."""
-    order = np.argsort(at, kind="stable")
-    return np.split(order, np.flatnonzero(np.diff(at[order])) + 1) if len(order) else []
-
-
-def forward(hit, first, depth, weight: np.ndarray) -> np.ndarray:
-    """Log sums over all segmentations up to each position (positions x
-    columns of ``weight``, the log probability of each match)."""
-    alpha = np.full((len(depth), weight.shape[1]), -1e300)
-    alpha[first] = 0.0
-    for of_level in _levels(depth[hit[:, 1]]):
-        got, sums = _log_sums(alpha[hit[of_level, 0]] + weight[of_level], hit[of_level, 1])
-        alpha[got] = sums
-    return alpha
-
-
-def expected_uses(hit, first, last, depth, weight: np.ndarray) -> np.ndarray:
-    """Posterior probability of each match, by forward and backward sums."""
-    alpha = forward(hit, first, depth, weight[:, None])[:, 0]
-    beta = np.full(len(depth), -1e300)
-    beta[last] = 0.0
-    by_start = np.argsort(hit[:, 0], kind="stable")
-    for of_level in reversed(_levels(depth[hit[by_start, 0]])):
-        chosen = by_start[of_level]
-        got, sums = _log_sums((beta[hit[chosen, 1]] + weight[chosen])[:, None], hit[chosen, 0])
-        beta[got] = sums[:, 0]
-    whole = alpha[last][np.searchsorted(last, hit[:, 1])]
-    return np.exp(np.minimum(0.0, alpha[hit[:, 0]] + weight + beta[hit[:, 1]] - whole))
+        found = np.zeros((0, 2), np.int64)
+        if len(self.auto):
+            found = np.fromiter(chain.from_iterable(self.auto.iter(joined)), np.int64).reshape(-1, 2)
+        lone = self.single[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)]
+        at = np.concatenate((np.arange(len(joined)), found[:, 0]))
+        order = np.argsort(at, kind="stable")
+        at = at[order]
+        size = np.concatenate((np.ones(len(lone), np.int64), found[:, 1] & 0xFFFF))[order]
+        piece = np.concatenate((lone, found[:, 1] >> 16))[order]
+        sizes = np.fromiter(map(len, marked), np.int64, len(marked))
+        return Lattice(at, size, piece, sizes)
+
+
+class Lattice:
+    """Words side by side on one line of positions (a word of n characters has
+    n + 1): ``start``, ``end``, ``piece`` and ``word`` of every match, sorted
+    by end; ``first`` and ``last`` position of every word."""
+
+    def __init__(self, at: np.ndarray, size: np.ndarray, piece: np.ndarray, sizes: np.ndarray):
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        self.word, self.piece, self.sizes = owner[at], piece, sizes
+        self.end = at + 1 + self.word
+        self.start = self.end - size
+        self.last = np.cumsum(sizes + 1) - 1
+        self.first = self.last - sizes
+        self.depth = (np.arange(int((sizes + 1).sum())) - np.repeat(self.first, sizes + 1)).astype(np.uint16)
+
+    def _sums(self, ends: np.ndarray, begins: np.ndarray, weight: np.ndarray, source: np.ndarray) -> np.ndarray:
+        """Level by level in the order of ``begins``' positions: the value of a
+        position in ``ends`` is the sum of weight x value at ``begins``."""
+        value = np.zeros((len(self.depth), weight.shape[1]))
+        value[source] = 1.0
+        key = self.depth[ends] if source is self.first else LONGEST + 2 - self.depth[ends]
+        order = np.argsort(key, kind="stable")
+        for chosen in np.split(order, np.flatnonzero(np.diff(key[order])) + 1):
+            into = ends[chosen]
+            cut = np.flatnonzero(np.append(True, into[1:] != into[:-1]))
+            value[into[cut]] = np.add.reduceat(value[begins[chosen]] * weight[chosen], cut)
+        return value
+
+    def forward(self, weight: np.ndarray) -> np.ndarray:
+        """Sums over all segmentations up to each position (positions x
+        columns of ``weight``, the scaled probability of each match)."""
+        return self._sums(self.end, self.start, weight, self.first)
+
+    def expected_uses(self, weight: np.ndarray) -> np.ndarray:
+        """Posterior probability of each match, by forward and backward sums."""
+        alpha = self.forward(weight[:, None])[:, 0]
+        by_start = np.argsort(self.start, kind="stable")
+        beta = self._sums(self.start[by_start], self.end[by_start], weight[by_start, None], self.last)[:, 0]
+        return alpha[self.start] * weight * beta[self.end] / alpha[self.last][self.word]
+
+
+def scaled(logs: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Piece probabilities, none under ``LEAST``, times e^(``PER_CHAR`` x
+    length): sums over words of up to ``LONGEST`` characters then neither
+    underflow nor overflow."""
+    return np.exp(np.maximum(logs, LEAST) + PER_CHAR * sizes.reshape(-1, *[1] * (logs.ndim - 1)))
 
 
 class LanguageModel:
@@ -160,25 +175,28 @@ class LanguageModel:
     def __init__(self, pieces: list[str], langs: list[str], priors: np.ndarray, logs: np.ndarray):
         self.pieces, self.langs, self.priors, self.logs = pieces, langs, priors, logs
 
-    def scorer(self):
-        return WordScores(Pieces(self.pieces), self.logs)
-
 
 class WordScores:
     """Log probability of words in each language; keeps up to ``MEMO``."""
 
     def __init__(self, pieces: Pieces, logs: np.ndarray):
-        self.pieces, self.logs, self.memo = pieces, logs, {}
+        self.pieces, self.weights = pieces, scaled(logs, pieces.sizes)
+        self.place: dict[str, int] = {}
+        self.rows = np.zeros((0, logs.shape[1]))
 
     def of(self, words: list[str]) -> np.ndarray:
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        new = [w for w in words if w not in self.memo]
+        """One row for each of these distinct words."""
+        if len(self.place) > MEMO:
+            self.place, self.rows = {}, self.rows[:0]
+        new = [w for w in words if w not in self.place]
+        parts = [self.rows]
         for k in range(0, len(new), WORDS_AT_ONCE):
-            part = new[k:k + WORDS_AT_ONCE]
-            hit, first, last, depth = self.pieces.lattice(part)
-            self.memo.update(zip(part, forward(hit, first, depth, self.logs[hit[:, 2]])[last]))
-        return np.array([self.memo[w] for w in words]).reshape(len(words), self.logs.shape[1])
+            lattice = self.pieces.lattice(new[k:k + WORDS_AT_ONCE])
+            whole = lattice.forward(self.weights[lattice.piece])[lattice.last]
+            parts.append(np.log(whole) - PER_CHAR * lattice.sizes[:, None])
+        self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
+        self.rows = np.concatenate(parts)
+        return self.rows[np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))]
 
 
 def _counted_words(batches):
@@ -221,14 +239,14 @@ def fit_languages(docs: DataFrame, pieces: list[str], lang_col: str = "lang", te
         def uses(batches):
             names, table_now = now()
             v = Pieces(names)
+            weights = scaled(table_now, v.sizes)
             for b in batches:
                 for k in range(0, len(b), WORDS_AT_ONCE):
                     l, words, times = (c.slice(k, WORDS_AT_ONCE) for c in b.columns)
-                    hit, first, last, depth = v.lattice(words.to_pylist())
-                    at = np.searchsorted(last, hit[:, 1])
-                    lang = np.asarray(l).astype(np.int64)[at]
-                    got = expected_uses(hit, first, last, depth, table_now[hit[:, 2], lang]) * np.asarray(times)[at]
-                    cells, place = np.unique(lang * size + hit[:, 2], return_inverse=True)
+                    lattice = v.lattice(words.to_pylist())
+                    lang = np.asarray(l).astype(np.int64)[lattice.word]
+                    got = lattice.expected_uses(weights[lattice.piece, lang]) * np.asarray(times)[lattice.word]
+                    cells, place = np.unique(lang * size + lattice.piece, return_inverse=True)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(cells), pa.array(np.bincount(place, got, len(cells)))], ["cell", "uses"])
         # at most vocabulary x languages rows; summed as decimals, so that every run adds alike
