@@ -38,18 +38,9 @@ def page_offsets(spark: SparkSession, total: int, page_size: int = DEFAULT.page_
                     F.least(F.lit(page_size).cast("long"), F.lit(int(total)) - F.col("id")).alias("length")))
 
 
-def records_to_pages(records: DataFrame, page_size: int = DEFAULT.page_size) -> DataFrame:
-    """Group records into page documents of at most ``page_size`` records
-    (exactly ceil(total / page_size) pages), as a paging API hands them out.
-
-    Records are numbered without a global sort: the input is materialized
-    (so its partitions and their order are fixed and a retried task sees the
-    same rows), each partition is counted, the partition offsets are a prefix
-    sum over those per-partition counts (one row per partition), and a
-    record's number is its partition offset plus its position.  Page =
-    number / page_size, so a page never exceeds ``page_size`` records, even
-    when one record is copied very many times.
-    """
+def numbered_records(records: DataFrame, page_size: int) -> DataFrame:
+    """(page, _total, rec): every record with its page, numbered as described
+    at ``records_to_pages``."""
     fixed = materialize(records)
     mask = (1 << 33) - 1  # monotonically_increasing_id: partition << 33 | position
     numbered = fixed.select(
@@ -62,9 +53,24 @@ def records_to_pages(records: DataFrame, page_size: int = DEFAULT.page_size) ->
         "_part",
         (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_offset"),
         F.sum("_n").over(Window.partitionBy()).alias("_total"))
-    paged = (numbered.join(F.broadcast(offsets), "_part")
+    return (numbered.join(F.broadcast(offsets), "_part")
              .select(((F.col("_offset") + F.col("_pos")) / F.lit(page_size)).cast("long").alias("page"),
                      "_total", "rec"))
+
+
+def records_to_pages(records: DataFrame, page_size: int = DEFAULT.page_size) -> DataFrame:
+    """Group records into page documents of at most ``page_size`` records
+    (exactly ceil(total / page_size) pages), as a paging API hands them out.
+
+    Records are numbered without a global sort: the input is materialized
+    (so its partitions and their order are fixed and a retried task sees the
+    same rows), each partition is counted, the partition offsets are a prefix
+    sum over those per-partition counts (one row per partition), and a
+    record's number is its partition offset plus its position.  Page =
+    number / page_size, so a page never exceeds ``page_size`` records, even
+    when one record is copied very many times.
+    """
+    paged = numbered_records(records, page_size)
     return (paged.groupBy("page")
             .agg(F.collect_list("rec").alias("data"), F.first("_total").alias("_total"))
             .select("page", F.struct(F.col("_total").cast("string").alias("total"),
