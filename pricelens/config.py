@@ -54,6 +54,8 @@ BASELINE_GRID_CENTS = (300, 600, 5)
 # baselines of the registered what-if grids (see plans/registry.py)
 TEST_BASELINE_GRID_CENTS = (50, 300, 5)
 PAGE_SIZE = 5000
+# loads of the registered load report: page size, pages of a load
+TEST_LOAD_PAGE_SIZE, TEST_PAGES_PER_LOAD = 500, 4
 HORIZON_WEEKS = 8
 MAX_TREND_WEEKS = 520
 DEFAULT_TREND_WEEKS = 52
@@ -95,7 +97,6 @@ class Config:
     fleet: Fleet = field(default_factory=Fleet)
     source_tag: str = "price_api_v2"
     catalog: str = ""  # optional name prefix for the layer databases
-    # Largest row count a data-dependent side may have to be broadcast.
 
     def database(self, layer: str) -> str:
         return f"{self.catalog}_{layer}" if self.catalog else layer

@@ -7,7 +7,8 @@ in one ``select`` so Catalyst plans a single Exchange + Sort + Window.
 Window partitions are series (product, or product x area).  A series holds
 one row per week, so a partition is bounded by the calendar (about 52 rows
 a year), not by the data volume; parallelism comes from the number of
-series.  ``duplicate_keys`` checks that bound (unique key + date).
+series.  ``duplicate_keys`` checks that bound (unique key + date).  For series
+too long for one task, the ``_blocked`` forms cut the windows (``blocks``).
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from pricelens.config import DEFAULT, Config
 from pricelens.functions.numeric import pct_change, round_exact
+from pricelens.operators.blocks import BLOCK_DAYS, blocked, day_block
 
 def series_window(keys: Sequence[str], order: str = "price_date"):
     return Window.partitionBy(*keys).orderBy(order)
@@ -71,26 +73,33 @@ def weekly_summary(silver: DataFrame, cfg: Config = DEFAULT, newest: int | None
     rows), which is exact for the kept rows (a 12-row mean looks back 11
     rows) and spares the history when only the latest week is read."""
     keys = ["product"]
-    national = (silver.filter(F.col("area_name") == cfg.national_area)
-                .filter(F.col("product").isin(list(cfg.national_products))))
+    national = national_rows(silver, cfg)
     if newest is not None:
         national = newest_rows(national, keys, newest + WEEKLY_LOOKBACK - 1)
-    p = F.col("price_per_gallon")
-    prev = lag_value("price_per_gallon", keys, 1)
-    back4 = lag_value("price_per_gallon", keys, 4)
-    with_windows = national.select(
-        "price_date", "product", "product_name", "product_category", "price_per_gallon",
-        prev.alias("prev_week_price"),
-        trailing_mean("price_per_gallon", keys, 4).alias("_avg4"),
-        trailing_mean("price_per_gallon", keys, 12).alias("_avg12"),
-        back4.alias("price_4wk_ago"),
-    )
+    with_windows = national.select(*WEEKLY_INPUT, *[
+        c.alias(n) for n, c in weekly_windows(series_window(keys)).items()])
     if newest is not None:
         with_windows = newest_rows(with_windows, keys, newest)
-    prev_c, back4_c = F.col("prev_week_price"), F.col("price_4wk_ago")
+    return weekly_measures(with_windows)
+
+
+WEEKLY_INPUT = ("price_date", "product", "product_name", "product_category", "price_per_gallon")
+
+
+def weekly_windows(w) -> dict[str, Column]:
+    """The lags and trailing means of the weekly summary over ``w``."""
+    p = F.col("price_per_gallon")
+    return {"prev_week_price": F.lag(p, 1).over(w),
+            "_avg4": F.avg(p).over(w.rowsBetween(-3, 0)),
+            "_avg12": F.avg(p).over(w.rowsBetween(-(WEEKLY_LOOKBACK - 1), 0)),
+            "price_4wk_ago": F.lag(p, 4).over(w)}
+
+
+def weekly_measures(with_windows: DataFrame) -> DataFrame:
+    """The weekly summary's columns from its window columns."""
+    p, prev_c, back4_c = F.col("price_per_gallon"), F.col("prev_week_price"), F.col("price_4wk_ago")
     return with_windows.select(
-        "price_date", "product", "product_name", "product_category", "price_per_gallon",
-        "prev_week_price",
+        *WEEKLY_INPUT, "prev_week_price",
         round_exact(p - prev_c, 4).alias("wow_change"),
         round_exact(pct_change(p, prev_c), 2).alias("wow_pct_change"),
         round_exact("_avg4", 4).alias("avg_4wk"),
@@ -100,6 +109,39 @@ def weekly_summary(silver: DataFrame, cfg: Config = DEFAULT, newest: int | None
     )
 
 
+def national_rows(silver: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """What the weekly summary is computed from."""
+    return (silver.filter(F.col("area_name") == cfg.national_area)
+            .filter(F.col("product").isin(list(cfg.national_products))).select(*WEEKLY_INPUT))
+
+
+def weekly_summary_blocked(silver: DataFrame, cfg: Config = DEFAULT, block_days: int = BLOCK_DAYS,
+                           targets: DataFrame | None = None) -> DataFrame:
+    """B-04 with the windows cut into blocks of days (see ``blocks``): the
+    same values, with as many tasks as blocks instead of products."""
+    rows = blocked(national_rows(silver, cfg), ["product"], "price_date", WEEKLY_LOOKBACK - 1,
+                   day_block("price_date", block_days), weekly_windows, targets)
+    return weekly_measures(rows)
+
+
+REGIONAL_INPUT = ("price_date", "product", "product_name", "product_category", "duoarea", "area_name",
+                  "price_per_gallon")
+
+
+def regional_rows(silver: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """What the regional comparison is computed from."""
+    return silver.filter(F.col("product").isin(list(cfg.regional_products))).select(*REGIONAL_INPUT)
+
+
+def regional_comparison_blocked(silver: DataFrame, cfg: Config = DEFAULT, block_days: int = BLOCK_DAYS,
+                                targets: DataFrame | None = None) -> DataFrame:
+    """B-05 in blocks of days."""
+    rows = blocked(regional_rows(silver, cfg), ["product", "duoarea"], "price_date", 1,
+                   day_block("price_date", block_days),
+                   lambda w: {"prev_week_price": F.lag("price_per_gallon", 1).over(w)}, targets)
+    return rows.withColumn("wow_change", round_exact(F.col("price_per_gallon") - F.col("prev_week_price"), 4))
+
+
 def regional_comparison(silver: DataFrame, cfg: Config = DEFAULT,
                         newest: int | None = None) -> DataFrame:
     """B-05: every area (national row included) of the regional products,

@@ -262,8 +262,9 @@ cte("fbridge", """
   FROM fwin""")
 
 
-def with_chain(select: str) -> str:
-    body = ",\n".join(f"{name} AS ({sql}\n)" for name, sql in _CTES)
+def with_chain(select: str, **instead: str) -> str:
+    """``select`` behind all layers; ``instead`` names layers defined otherwise."""
+    body = ",\n".join(f"{name} AS ({instead.get(name, sql)}\n)" for name, sql in _CTES)
     return f"WITH {body}\n{select}"
 
 
@@ -329,6 +330,31 @@ def oracle_queries(test_baseline: float, test_rate: float) -> dict[str, str]:
               FROM bronze
               WHERE TRY_CAST(period AS DATE) >= (SELECT MAX(TRY_CAST(period AS DATE)) FROM bronze) - 42))
       WHERE rn = 1""")
+    # a first load, then an update: the newest 7 weeks revised, the oldest 10 weeks late
+    pdate = "TRY_CAST(period AS DATE)"
+    updated = f"""
+      SELECT period, duoarea, "area-name", product, "product-name", "process-name", series, "series-description",
+             CASE WHEN newest THEN {revised} ELSE value END AS value, units,
+             CASE WHEN newest OR late THEN '2026-01-08 00:00:00' ELSE '2026-01-01 00:00:00' END AS _ingested_at
+      FROM (SELECT *, {pdate} >= MAX({pdate}) OVER () - 42 AS newest, {pdate} < MIN({pdate}) OVER () + 70 AS late
+            FROM records WHERE product IN %s)"""
+    q["versioned_merge"] = with_chain(f"SELECT *, 'price_api_v2' AS _source FROM ({updated % _in(C.INGEST_PRODUCTS)})")
+    q["incremental_weekly"] = with_chain("SELECT * FROM weekly", bronze=updated % _in(C.NATIONAL_PRODUCTS))
+    q["incremental_regional"] = with_chain("SELECT * FROM regional", bronze=updated % _in(C.REGIONAL_PRODUCTS))
+    page, per_load = C.TEST_LOAD_PAGE_SIZE, C.TEST_LOAD_PAGE_SIZE * C.TEST_PAGES_PER_LOAD
+    q["load_report"] = with_chain(f"""
+      SELECT CAST(load AS VARCHAR) AS load, total AS declared_total,
+             CAST(CEIL(total / {page}.0) AS BIGINT) AS pages_planned,
+             CAST(CEIL(total / {page}.0) AS BIGINT) - lost AS pages_seen, again AS pages_repeated, lost AS pages_lost,
+             CASE WHEN lost > 0 THEN CAST({page} AS BIGINT) ELSE -1 END AS first_lost_offset,
+             total - missing + again * LEAST({page}, total) AS records_found, total - missing AS records_distinct,
+             again * LEAST({page}, total) AS records_overlapping, missing, lost = 0 AS complete
+      FROM (SELECT *, CASE WHEN lost > 0 THEN LEAST({page}, total - {page}) ELSE 0 END AS missing
+            FROM (SELECT load, total, CAST(load % 3 = 1 AND total > {page} AS BIGINT) AS lost,
+                         CAST(load % 3 = 2 AS BIGINT) AS again
+                  FROM (SELECT load, LEAST({per_load}, n - load * {per_load}) AS total
+                        FROM (SELECT n, UNNEST(RANGE(0, CAST(CEIL(n / {per_load}.0) AS BIGINT))) AS load
+                              FROM (SELECT COUNT(*) AS n FROM {asked})))))""")
     q["silver_prices"] = with_chain("SELECT * FROM silver")
     q["silver_rejects"] = with_chain("""
       SELECT * FROM (
@@ -346,6 +372,8 @@ def oracle_queries(test_baseline: float, test_rate: float) -> dict[str, str]:
       GROUP BY product, duoarea, series, price_date HAVING COUNT(*) > 1""")
     q["weekly_summary"] = with_chain("SELECT * FROM weekly")
     q["regional_comparison"] = with_chain("SELECT * FROM regional")
+    q["weekly_summary_blocked"] = q["weekly_summary"]
+    q["regional_comparison_blocked"] = q["regional_comparison"]
     q["weekly_preview"] = with_chain(
         f"SELECT * FROM weekly ORDER BY price_date DESC, product_name, product LIMIT {C.PREVIEW_ROWS}")
     q["snapshot"] = with_chain("SELECT * FROM snap")

@@ -8,6 +8,7 @@ date is used, as a scalar subquery, since the test data ends years ago.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,8 @@ from pricelens.config import (
     DEFAULT_TREND_WEEKS,
     PREVIEW_ROWS,
     TEST_BASELINE_GRID_CENTS,
+    TEST_LOAD_PAGE_SIZE,
+    TEST_PAGES_PER_LOAD,
     UI_RATE,
 )
 from pricelens.functions.numeric import round_exact
@@ -28,8 +31,12 @@ from pricelens.operators import series as sr
 from pricelens.operators import silver as sv
 from pricelens.operators import surcharge as sc
 from pricelens.plans.layers import Layers
+from pricelens.plans.incremental import GOLD, IncrementalLayers
+from pricelens.session import materialize, scratch_path
+from pricelens.sources import loads as ld
 from pricelens.sources import pages as pg
 from pricelens.sources import tables as tb
+from pricelens.sources.versions import VersionedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -68,6 +75,17 @@ def _page_report(lay: Layers) -> DataFrame:
     return pg.page_report(pg.records_to_pages(lay.records, lay.cfg.page_size))
 
 
+@register("load_report")
+def _load_report(lay: Layers) -> DataFrame:
+    """All records as loads of pages, with injected faults to report: in every
+    third load the second page is lost, in every third the first comes twice."""
+    pages = materialize(ld.records_to_load_pages(lay.records, TEST_LOAD_PAGE_SIZE, TEST_PAGES_PER_LOAD))
+    load, first = F.col("load").cast("long"), F.col("offset") == "0"
+    lost = (load % 3 == 1) & (F.col("offset") == str(TEST_LOAD_PAGE_SIZE))
+    landed = pages.filter(~lost).unionByName(pages.filter((load % 3 == 2) & first))
+    return ld.load_report(landed, TEST_LOAD_PAGE_SIZE)
+
+
 @register("ingest_profile")
 def _ingest_profile(lay: Layers) -> DataFrame:
     return rd.ingest_profile(lay.bronze)
@@ -88,6 +106,53 @@ def _keyed_upsert(lay: Layers) -> DataFrame:
     return merged.withColumn("_ingested_at", F.col("_ingested_at").cast("string"))
 
 
+def _first_and_update(lay: Layers) -> tuple[DataFrame, DataFrame]:
+    """Raw records as a first load and an update: the update revises the
+    newest 7 weeks and brings the oldest 10 weeks, which come late."""
+    records = lay.records_materialized
+    pdate = F.col("period").try_cast("date")
+    ends = records.agg(F.min(pdate).alias("lo"), F.max(pdate).alias("hi"))
+    late = pdate < F.date_add(ends.select("lo").scalar(), 70)
+    revised = round_exact(F.col("value").try_cast("double") + F.lit(0.01), 3).cast("decimal(10,3)").cast("string")
+    new = records.filter(pdate >= F.date_sub(ends.select("hi").scalar(), 42)).withColumn("value", revised)
+    return records.filter(~late), new.unionByName(records.filter(late))
+
+
+def _landed(lay: Layers, name: str) -> str:
+    return scratch_path(lay.spark, f"{name}-{uuid.uuid4().hex}")
+
+
+@register("versioned_merge")
+def _versioned_merge(lay: Layers) -> DataFrame:
+    """A versioned bronze table after a first load and an update, which comes
+    twice under one batch number."""
+    table = VersionedTable(lay.spark, _landed(lay, "versioned"), "period")
+    first, update = _first_and_update(lay)
+    table.merge(pg.bronze_records(first, lay.cfg, "2026-01-01", dedupe=False), UPSERT_KEYS, batch=("load", 0))
+    for _ in range(2):
+        table.merge(pg.bronze_records(update, lay.cfg, "2026-01-08", dedupe=False), UPSERT_KEYS, batch=("load", 1))
+    return table.read().withColumn("_ingested_at", F.col("_ingested_at").cast("string"))
+
+
+def _incremental(lay: Layers, name: str) -> DataFrame:
+    layers = IncrementalLayers(lay.spark, _landed(lay, "incremental"), lay.cfg, gold={name: GOLD[name]})
+    for batch, records in enumerate(_first_and_update(lay)):
+        layers.load(records, batch, as_of=f"2026-01-{1 + 7 * batch:02d}")
+    return layers.read(name)
+
+
+@register("incremental_weekly", "national")
+def _incremental_weekly(lay: Layers) -> DataFrame:
+    """The weekly summary after a first load and an update of revised and late
+    records, only the touched blocks rewritten."""
+    return _incremental(lay, "weekly")
+
+
+@register("incremental_regional", "regional")
+def _incremental_regional(lay: Layers) -> DataFrame:
+    return _incremental(lay, "regional")
+
+
 # --- silver -------------------------------------------------------------------
 
 @register("silver_prices")
@@ -122,6 +187,16 @@ def _regional(lay: Layers) -> DataFrame:
     return lay.regional
 
 
+@register("weekly_summary_blocked", "national")
+def _weekly_blocked(lay: Layers) -> DataFrame:
+    return sr.weekly_summary_blocked(lay.silver, lay.cfg)
+
+
+@register("regional_comparison_blocked", "regional")
+def _regional_blocked(lay: Layers) -> DataFrame:
+    return sr.regional_comparison_blocked(lay.silver, lay.cfg)
+
+
 @register("weekly_preview", "national")
 def _weekly_preview(lay: Layers) -> DataFrame:
     # the newest 20 rows overall lie within each series' newest 20 dates

@@ -6,7 +6,8 @@ against the distinct records found, over all of its pages, however many
 batches they came in:
 
 * lost pages are planned offsets (0, page size, 2 x page size, ... below the
-  total) that no page has;
+  total) that no page has (``first_lost_offset`` is the least of them, -1 without
+  any);
 * repeated pages have an offset that came before; overlapping records are
   record copies beyond the first;
 * a load is complete when no planned page is lost and the distinct records
@@ -108,7 +109,8 @@ def report_of(counts: DataFrame, offsets: DataFrame, page_size: int) -> DataFram
     return joined.select(
         "load", "declared_total", F.ceil(F.col("declared_total") / page_size).cast("long").alias("pages_planned"),
         zero("pages_seen").alias("pages_seen"), (F.col("pages") - zero("pages_seen")).alias("pages_repeated"),
-        zero("pages_lost").alias("pages_lost"), "first_lost_offset", "records_found", "records_distinct",
+        zero("pages_lost").alias("pages_lost"),
+        F.coalesce("first_lost_offset", F.lit(-1).cast("long")).alias("first_lost_offset"), "records_found", "records_distinct",
         (F.col("records_found") - F.col("records_distinct")).alias("records_overlapping"), missing.alias("missing"),
         (F.coalesce(missing <= 0, F.lit(False)) & (zero("pages_lost") == 0)).alias("complete"))
 

@@ -100,7 +100,7 @@ def test_reconcile_by_type(spark):
     assert widened(T.LongType(), T.IntegerType()) == T.LongType() and widened(T.LongType(), T.StringType()) is None
     assert widened(T.FloatType(), T.DoubleType()) == T.DoubleType()
     assert widened(T.ArrayType(T.IntegerType()), T.ArrayType(T.LongType())) == T.ArrayType(T.LongType())
-    old = T.StructType().add("a", "int").add("s", T.StructType().add("x", "int"))
+    old = T.StructType().add("a", "integer").add("s", T.StructType().add("x", "integer"))
     new = T.StructType().add("s", T.StructType().add("x", "long").add("y", "string")).add("b", "string")
     assert reconcile(old, new).simpleString() == "struct<a:int,s:struct<x:bigint,y:string>,b:string>"
     with pytest.raises(SchemaChangeError, match="without a type"):
