@@ -50,6 +50,19 @@ def lanes(spark: SparkSession, per_partition: int = 1) -> int:
     return max(1, per_partition * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def row_slices(texts, most: int):
+    """(start, length) of runs of rows of about ``most`` bytes."""
+    import numpy as np
+    import pyarrow.compute as pc
+    total = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0)).astype(np.int64))
+    start = 0
+    while start < len(texts):
+        before = total[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(total, before + most, "right")))
+        yield start, end - start
+        start = end
+
+
 def utf8_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 
@@ -91,6 +104,8 @@ def min_label_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
         if before is not None and tuple(now) == tuple(before):
             break
         before = now
+    else:
+        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return (e.groupBy("a").agg(F.min("b").alias("component_id"))
             .select(F.col("a").alias("node"), "component_id")
             .unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("component_id")).distinct()))

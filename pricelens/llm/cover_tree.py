@@ -18,11 +18,11 @@ A task returns, for every vector, how many links it found, and a spanning forest
 of the links: as many rows as vectors, never the pairs.  Components follow from
 the forests.
 
-A vector that is null, of a different length from the most common one, zero or
-with null or non-finite parts links with nothing and is kept as its own class.
-Rows with a null id are returned with no links; rows that repeat an id are
-folded to one vector (the first by value).  Equal vectors link.  An empty table
-gives no rows.
+A vector that is null, zero or with null or non-finite parts links with nothing
+and is kept as its own class; vectors of different lengths do not link.  Every
+row is a vector of its own, also where an id repeats or is null; the class is
+the smallest id of its rows (null where none has an id).  Equal vectors link.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -242,24 +242,39 @@ def _walk(cosine: float):
 
 def near_duplicates(vectors: DataFrame, cosine: float, id_col: str = "vec_id", vector_col: str = "embedding",
                     chunk: int = CHUNK, max_pivots: int = MAX_PIVOTS) -> DataFrame:
-    """Per id: vec_id, n_links, component_id, kept."""
-    spark = vectors.sparkSession
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
+    """Per row: vec_id, n_links, component_id, kept.  Only vectors of one
+    length meet; each length is joined for itself."""
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"),
+                          F.monotonically_increasing_id().alias("key"))
     rows = written(rows)
-    top = rows.filter("v is not null").groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(
-        F.col("n").desc(), "d").first()
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     largest = F.array_max(F.transform("v", lambda x: F.abs(x)))
-    good = rows.filter((F.size("v") == (top["d"] if top else 0)) & finite & (largest > 0) & F.col("vec_id").isNotNull())
     scaled = F.transform("v", lambda x: x / largest)  # lengths neither overflow nor vanish
-    good = good.groupBy("vec_id").agg(F.min("v").alias("v")).select("vec_id", scaled.alias("v"))
+    good = rows.filter(F.col("v").isNotNull() & finite & (largest > 0)).select("key", scaled.alias("v"))
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    unit = written(good.select("vec_id", F.transform("v", lambda x: x / length).alias("v")))
-    n = unit.count()
-    ids = rows.groupBy("vec_id").agg(F.count("*").alias("rows"))
-    if not n:
-        return ids.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
-                          F.lit(True).alias("kept"))
+    unit = written(good.select(F.col("key").alias("vec_id"), F.transform("v", lambda x: x / length).alias("v")))
+    sizes = unit.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy("d").collect()  # one row a length
+    found = None
+    for r in sizes:
+        own = _links(unit.filter(F.size("v") == r["d"]), r["n"], cosine, chunk, max_pivots)
+        found = own if found is None else found.unionByName(own)
+    if found is None:
+        found = vectors.sparkSession.createDataFrame([], "a long, b long, n long")
+    links = found.filter("b is null").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("n"))
+    parts_of = min_label_components(found.filter("b is not null").select("a", "b"))
+    named = rows.select("key", "vec_id").join(parts_of.select(F.col("node").alias("key"), F.col("component_id").alias("c")),
+                                              "key", "left").join(links, "key", "left")
+    named = written(named.withColumn("c", F.coalesce("c", "key")))
+    least = named.groupBy("c").agg(F.min("vec_id").alias("component_id"))
+    return named.join(least, "c").select(
+        "vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), "component_id",
+        F.col("component_id").eqNullSafe(F.col("vec_id")).alias("kept"))
+
+
+def _links(unit: DataFrame, n: int, cosine: float, chunk: int, max_pivots: int) -> DataFrame:
+    """(a, null, n): links of a vector; (a, b, 0): edges that hold its
+    component together, of ``n`` unit vectors (vec_id, v) of one length."""
+    spark = unit.sparkSession
     sample = _matrix(r["v"] for r in unit.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect())
     wanted, radius = min(max_pivots, -(-n // chunk)), 2.0
     centres = np.unique(net(sample, radius))
@@ -291,15 +306,7 @@ def near_duplicates(vectors: DataFrame, cosine: float, id_col: str = "vec_id", v
         (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("parts"))).cast("int").alias("chunk"), "vec_id", "v")
     trees = written(chunked.groupBy("chunk").applyInPandas(
         _tree_rows, "chunk int, vec_id long, v array<double>, path array<int>"))
-    found = written(trees.join(sides, "chunk").groupBy("p", "q").applyInPandas(
-        _walk(cosine), "a long, b long, n long"))
-    links = found.filter("b is null").groupBy("a").agg(F.sum("n").alias("n"))
-    parts_of = min_label_components(found.filter("b is not null").select("a", "b"))
-    out = (ids.join(links.withColumnRenamed("a", "vec_id"), "vec_id", "left")
-           .join(parts_of.withColumnRenamed("node", "vec_id"), "vec_id", "left"))
-    component = F.coalesce("component_id", "vec_id")
-    return out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
-                      component.eqNullSafe(F.col("vec_id")).alias("kept"))
+    return written(trees.join(sides, "chunk").groupBy("p", "q").applyInPandas(_walk(cosine), "a long, b long, n long"))
 
 
 def op4_cover_tree(spark, sf_dir) -> DataFrame:

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import table, written
+from pricelens.llm.common import shared, table, written
 
 K1, B = 1.2, 0.75
 MIN_SCORE, COMMON_SHARE, MIN_OVERLAP = 0.6, 0.25, 0.8
@@ -148,7 +148,7 @@ class Index:
             bound, pivot = 0.0, None
             for k, (_, _, t) in enumerate(cursor):
                 bound += self.top[t]
-                if bound >= MIN_SCORE:
+                if bound >= MIN_SCORE - 1e-9:
                     pivot = k
                     break
             if pivot is None:
@@ -192,7 +192,7 @@ def _search(index, id_type: pa.DataType, item_type: pa.DataType):
         return len(part & found) / len(part) if part else None
 
     def run(batches):
-        ix: Index = index.value
+        ix: Index = index()
 
         class Terms(dict):
             def __missing__(self, word):
@@ -263,7 +263,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
             continue
         own = spark.createDataFrame([(w,) for w in sorted({w for _, t in rows for w in clean_words(t)})], "term string")
         index = Index(rows, dict(df.join(own, "term").select("term", "df").collect()), n_items, mean)
-        found = src.mapInArrow(_search(spark.sparkContext.broadcast(index), to_arrow_type(kind),
+        found = src.mapInArrow(_search(shared(spark, index), to_arrow_type(kind),
                                        to_arrow_type(item_kind)), schema)
         out = out.unionByName(found)
     return out

@@ -25,14 +25,17 @@ small that unrelated sets share them), with some segments to spare.
   where it holds an odd number of shingles: two sets differ in at least as many
   shingles as bits), then verified exactly on the whole shingle sets.
 
-Sets are compared as 64-bit shingle hashes.  Null and empty texts and texts
+Sets are compared as 64-bit shingle hashes: two different shingles of one pair
+share a hash once in about 2**63 / size**2 pairs.  Null and empty texts and texts
 without words have no shingles and link with nothing.  Rows with a null id have
-no component and do not take part in links; repeated ids are one node.  An empty
-table gives no rows.
+no component and do not take part in links.  Rows that repeat an id are linked
+each by its own text; equal sets are one node whatever their ids.  An empty table
+gives no rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from fractions import Fraction
 
@@ -122,12 +125,11 @@ def _sign(words: int, t: Fraction):
         plans: dict[int, list] = {}
         seen: set[bytes] = set()
         for batch in batches:
-            cols = [[], [], [], [], []]
+            cols = [[], [], [], [], [], []]
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
                 h = shingle_set(text.as_py(), words)
                 with np.errstate(over="ignore"):
-                    digest = (int(h.sum(dtype=np.uint64)).to_bytes(8, "little")
-                              + int(mix(h ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)).to_bytes(8, "little"))
+                    digest = _digest(h)
                     bucket = (mix(h) >> np.uint64(32)) * np.uint64(64 * SKETCH_WORDS) >> np.uint64(32)
                     odd = np.packbits(np.bincount(bucket.astype(np.int64), minlength=64 * SKETCH_WORDS) & 1).view(np.int64)
                 if len(h) not in plans:
@@ -139,20 +141,29 @@ def _sign(words: int, t: Fraction):
                     seen.add(digest)
                     sig, weight, spare = signatures(h, plans[len(h)])
                     signed = (sig, np.where(spare < 0, -1, 3 * spare + weight).astype(np.int32))
-                for c, v in zip(cols, (len(h), digest, odd, *(signed or (None, None))), strict=True):
+                whole = hashlib.md5((text.as_py() or "").encode("utf-8", "surrogatepass"), usedforsecurity=False).digest()
+                for c, v in zip(cols, (whole, len(h), digest, odd, *(signed or (None, None))), strict=True):
                     c.append(v)
-            kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()))
+            kinds = (pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]],
-                ["doc_id", "size", "digest", "odd", "sig", "role"])
+                ["doc_id", "text_md5", "size", "digest", "odd", "sig", "role"])
     return run
 
 
+def _digest(h: np.ndarray) -> bytes:
+    with np.errstate(over="ignore"):
+        return (int(h.sum(dtype=np.uint64)).to_bytes(8, "little")
+                + int(mix(h ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)).to_bytes(8, "little"))
+
+
 def _sets(words: int):
     def run(batches):
         for batch in batches:
-            sets = [shingle_set(x.as_py(), words).view(np.int64) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["rep", "shingles"])
+            sets = [shingle_set(x.as_py(), words) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(map(len, sets), pa.int64()), pa.array(map(_digest, sets), pa.binary()),
+                 pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64()))], ["doc_id", "size", "digest", "shingles"])
     return run
 
 
@@ -172,9 +183,12 @@ def _verified(pairs: DataFrame, reps: DataFrame, src: DataFrame, words: int, t:
     near = (pairs.join(info.select(F.col("rep").alias("a"), F.col("size").alias("na"), F.col("odd").alias("oa")), "a")
             .join(info.select(F.col("rep").alias("b"), F.col("size").alias("nb"), F.col("odd").alias("ob")), "b"))
     near = written(near.filter(_may_link(t)).select("a", "b", "na", "nb"))
-    ids = written(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct())
-    sets = written(src.join(ids, "doc_id", "left_semi").mapInArrow(_sets(words), "rep long, shingles array<long>")
-                   .dropDuplicates(["rep"]))
+    ids = near.select(F.col("a").alias("rep")).union(near.select("b")).distinct()
+    ids = written(reps.join(ids, "rep", "left_semi").select("rep", "doc_id", "size", "digest"))
+    # an id may have several texts: the digest tells which one is meant
+    sets = written(src.join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
+                   .mapInArrow(_sets(words), "doc_id long, size long, digest binary, shingles array<long>")
+                   .join(ids, ["doc_id", "size", "digest"]).select("rep", "shingles").dropDuplicates(["rep"]))
     both = (near.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
             .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b"))
     common = F.size(F.array_intersect("sa", "sb"))
@@ -184,18 +198,22 @@ def _verified(pairs: DataFrame, reps: DataFrame, src: DataFrame, words: int, t:
 def jaccard_components(docs: DataFrame, words: int = 5, threshold: str = "0.8", id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest id reachable by
-    links), representative (smallest id with the same shingle set)."""
+    links), representative (smallest id with the same shingle set), text_md5
+    (of the whole text), group (a number that the rows of one component share,
+    and no others; null for rows that cannot link).  Rows of one id with
+    different texts are different rows, each linked by its own text."""
     t = Fraction(threshold)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = written(src.mapInArrow(_sign(words, t), "doc_id long, size long, digest binary, odd array<long>, "
-                                    "sig array<long>, role array<int>"))
+    signed = written(src.mapInArrow(_sign(words, t), "doc_id long, text_md5 binary, size long, digest binary, "
+                                    "odd array<long>, sig array<long>, role array<int>")
+                     .withColumn("row", F.monotonically_increasing_id()))
     per_set = signed.filter("size > 0 and doc_id is not null")
-    # a set is known by the smallest id that was signed; least is its smallest id of all
+    # a set is known by one row of it that was signed; least is its smallest id of all
     reps = written(per_set.groupBy("size", "digest").agg(
-        F.min(F.when(F.col("sig").isNotNull(), F.col("doc_id"))).alias("rep"), F.min("doc_id").alias("least"),
-        F.first("odd").alias("odd")))
+        F.min(F.when(F.col("sig").isNotNull(), F.struct("doc_id", "row"))).alias("of"), F.min("doc_id").alias("least"),
+        F.first("odd").alias("odd")).select("size", "digest", "of.doc_id", F.col("of.row").alias("rep"), "least", "odd"))
     rows = (per_set.filter("sig is not null")
-            .select(F.col("doc_id").alias("rep"), F.explode(F.arrays_zip("sig", "role")).alias("s"))
+            .select(F.col("row").alias("rep"), F.explode(F.arrays_zip("sig", "role")).alias("s"))
             .select("rep", "s.sig", "s.role"))
     group = Window.partitionBy("sig")
     shared = rows.withColumn("n", F.count("*").over(group)).filter("n > 1")
@@ -243,12 +261,13 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: str = "0.8",
     named = written(reps.join(whole, "rep", "left").select("size", "digest", "rep", "least",
                                                            F.coalesce("component_id", "rep").alias("c")))
     least = named.groupBy("c").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "c").select("size", "digest", "least", "component_id")
-    out = signed.select("doc_id", "size", "digest").join(named, ["size", "digest"], "left")
+    named = named.join(least, "c").select("size", "digest", "least", "component_id", "c")
+    out = signed.select("doc_id", "text_md5", "size", "digest").join(named, ["size", "digest"], "left")
     linked = F.col("doc_id").isNotNull() & (F.col("size") > 0)
     return out.select("doc_id", F.col("size").alias("n_shingles"),
                       F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-                      F.when(linked, F.col("least")).otherwise(F.col("doc_id")).alias("representative"))
+                      F.when(linked, F.col("least")).otherwise(F.col("doc_id")).alias("representative"),
+                      "text_md5", F.when(linked, F.col("c")).alias("group"))
 
 
 def op3_jaccard(spark, sf_dir) -> DataFrame:

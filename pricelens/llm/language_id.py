@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import held_out, shared, table, written
+from pricelens.llm.common import held_out, row_slices, shared, table, written
 from pricelens.llm.token_counts import BLANK, read_pieces
 
 LONGEST = 32
@@ -74,17 +74,6 @@ def text_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return pa.array(parts, pa.string()), np.bincount(np.array(at, int), minlength=len(counts))
 
 
-def row_slices(texts: pa.Array, most: int = SLICE_CHARS):
-    """(start, length) of runs of rows of about ``most`` characters."""
-    total = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0)).astype(np.int64))
-    start = 0
-    while start < len(texts):
-        before = total[start - 1] if start else 0
-        end = max(start + 1, int(np.searchsorted(total, before + most, "right")))
-        yield start, end - start
-        start = end
-
-
 class Pieces:
     """All occurrences of vocabulary pieces in many words.  Pieces of two or
     more characters come from an Aho-Corasick automaton, those of one from a
@@ -201,7 +190,7 @@ class WordScores:
 
 def _counted_words(batches):
     for b in batches:
-        for start, n in row_slices(b.column(1)):
+        for start, n in row_slices(b.column(1), SLICE_CHARS):
             langs, texts = b.column(0).slice(start, n), b.column(1).slice(start, n)
             words, counts = text_words(texts)
             if not len(words):
@@ -273,7 +262,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel | None, id_col: str
         pieces, langs, priors, logs = held()
         scores, names = WordScores(Pieces(pieces), logs), np.array([*langs, "und"], object)
         for b in batches:
-            for start, n in row_slices(b.column(1)):
+            for start, n in row_slices(b.column(1), SLICE_CHARS):
                 texts = b.column(1).slice(start, n)
                 words, counts = text_words(texts)
                 lettered = np.asarray(pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False))

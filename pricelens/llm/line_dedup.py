@@ -64,7 +64,8 @@ def repeated_spans(texts: DataFrame, min_words: int) -> DataFrame:
     each = each.withColumn("before", F.coalesce(F.sum("w").over(
         by_doc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     # least runs that start at a line, and least runs that end before a line
-    start = Window.partitionBy("no").orderBy("before").rangeBetween(min_words, Window.unboundedFollowing)
+    # (both frames grow from one row to the next, so a text of very many lines takes time in proportion)
+    start = Window.partitionBy("no").orderBy(-F.col("before")).rangeBetween(Window.unboundedPreceding, -min_words)
     finish = Window.partitionBy("no").orderBy("before").rangeBetween(Window.unboundedPreceding, -min_words)
     each = written(each.select("no", "pos", "a", "b", F.min("pos").over(start).alias("to"),
                                F.max("pos").over(finish).alias("since")))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import held_out, table
+from pricelens.llm.common import held_out, shared, table
 from pricelens.llm.labelled import hashed_sample, label_rows
 from pricelens.llm.shingles import mix, word_hashes
 
@@ -175,11 +175,11 @@ def fit_quality(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE) -> A
 
 def quality_score(spark, model: AttentionMil | float):
     """A function of a text column that gives its score."""
-    shared = spark.sparkContext.broadcast(model)  # a few thousand numbers
+    held = shared(spark, model)  # a few thousand numbers
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        m, out = shared.value, []
+        m, out = held(), []
         for k in range(0, len(texts), 256):
             part = texts.iloc[k:k + 256]
             out.append(np.full(len(part), m) if isinstance(m, float) else m.forward(*_bags(part))[0])

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import held_out, table, written
+from pricelens.llm.common import held_out, shared, table, written
 from pricelens.llm.labelled import hashed_sample, label_rows
 from pricelens.llm.shingles import word_and_prefix_hashes
 
@@ -130,10 +130,10 @@ def toxicity_scores(docs: DataFrame, model: PuModel | float, id_col: str = "doc_
                     text_col: str = "text") -> DataFrame:
     """(doc_id, score) of every row, each from its whole text."""
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most WORDS hashes and weights
+    held = shared(docs.sparkSession, model)  # at most WORDS hashes and weights
 
     def run(batches):
-        m = shared.value
+        m = held()
         for b in batches:
             s = [m if isinstance(m, float) else m.score(features(t.as_py())) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], ["doc_id", "score"])

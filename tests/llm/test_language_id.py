@@ -5,9 +5,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import table
+from pricelens.llm.common import row_slices, table
 from pricelens.llm.language_id import (
-    BLANK, LONGEST, Pieces, WordScores, fit_languages, learn_rows, op11_language_id, predict_languages, row_slices, scaled, text_words)
+    BLANK, LONGEST, Pieces, WordScores, fit_languages, learn_rows, op11_language_id, predict_languages, scaled, text_words)
 
 PIECES = [BLANK, BLANK + "a", "a", "b", "ab", "ba", "bab", BLANK + "ab", "aba"]
 
