@@ -1,10 +1,14 @@
 """Operators against brute force, round trips and held-out accuracy; odd rows."""
 
 import hashlib
+import os
 import re
+import subprocess
+import sys
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +20,7 @@ from pricelens.llm.common import min_label_components, table
 from pricelens.llm.decontamination import contaminated
 from pricelens.llm.labelled import label_rows
 from pricelens.llm.line_dedup import line_dedup
+from pricelens.llm.stages import decontamination_stage, jaccard_stage
 from pricelens.llm.token_counts import CountViterbi, read_pieces, token_counts
 from pricelens.llm.url_filters import url_filter
 
@@ -66,6 +71,93 @@ def test_token_counts_match_the_library(spark, odd):
     assert got[1] == got[2] == 0 and got[3] == v.text("one")[1]
 
 
+def test_token_counts_with_fractional_scores():
+    """Ties that depend on rounding fall as in the library."""
+    rng = np.random.default_rng(11)
+    for _ in range(40):
+        singles = ["▁", "a", "b", "c"]
+        longer = {"".join(rng.choice(list("abc"), rng.integers(2, 5))) for _ in range(12)}
+        pieces = [(p, -float(rng.integers(1, 60)) / 10) for p in singles + sorted(longer) + ["▁a", "▁ab", "▁▁"]]
+        lib = Tokenizer(models.Unigram([("<unk>", 0.0)] + [(f"<0x{b:02X}>", 0.0) for b in range(256)] + pieces, 0, True))
+        lib.normalizer = normalizers.Sequence([normalizers.Prepend("▁"), normalizers.Replace(" ", "▁")])
+        texts = [" ".join("".join(rng.choice(list("abcd"), rng.integers(1, 9))) for _ in range(rng.integers(1, 30)))
+                 for _ in range(40)] + ["", " ", "a  b", "ab▁c d", " a"]
+        counts, _ = CountViterbi(pieces).texts(pa.array([*texts, None]))
+        want = [len(e.ids) for e in lib.encode_batch(texts, add_special_tokens=False)] + [0]
+        assert counts.tolist() == want
+
+
+def test_rows_of_one_id_are_linked_each_by_its_own_text(spark):
+    a, z = " ".join(f"a{k}" for k in range(60)), " ".join(f"z{k}" for k in range(60))
+    rows = [(1, a), (2, a + " tail"), (2, z), (3, z + " tail"), (4, "alone"), (4, "apart"), (5, ""), (5, None), (None, a), (4, "alone")]
+    docs = spark.createDataFrame([(i, t, "g", 0) for i, t in rows], "doc_id long, text string, group string, row int")
+    out = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs).collect()), key=repr)
+    assert out == sorted([(1, 56, 1), (2, 57, 1), (2, 56, 2), (3, 57, 2), (4, 1, 4), (4, 1, 4), (4, 1, 4), (5, 0, 5), (5, 0, 5),
+                          (None, 56, None)], key=repr)
+    assert jaccard.jaccard_components(docs.limit(0)).count() == 0
+    stay = jaccard_stage(spark, docs, SF)
+    assert stay.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in stay.collect()), key=repr) == sorted(
+        [(1, a), (2, z), (4, "alone"), (4, "apart"), (5, ""), (None, a)], key=repr)
+
+
+def test_a_contaminated_row_goes_whatever_its_id(spark):
+    item = table(spark, SF, "benchmark", "text").first()[0]
+    clean = table(spark, "/root/testdata/sf0.001", "documents", "text").first()[0]
+    rows = [(None, item), (1, item), (1, "something else here"), (2, None), (3, ""), (None, "nothing of it")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, item_id string")
+    got = sorted(((r.doc_id, r.text) for r in decontamination_stage(spark, docs, SF).collect()), key=repr)
+    assert clean and got == sorted([(1, "something else here"), (2, None), (3, ""), (None, "nothing of it")], key=repr)
+
+
+def test_every_vector_is_a_row_of_its_own(spark):
+    rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [3.0, 0.1]), (4, [1.0, 0.0, 0.0]), (5, [2.0, 0.0, 0.0]), (6, [0.0, 1.0]),
+            (6, [1.0, 0.0]), (None, [1.0, 0.0]), (None, [-1.0, 0.0]), (7, None), (8, [0.0, 0.0]), (9, [None, 1.0]), (10, [])]
+    df = spark.createDataFrame([(i, v, 1, 1) for i, v in rows], "vec_id long, embedding array<double>, key int, n int")
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in cover_tree.near_duplicates(df, 0.95).collect()), key=repr)
+    want = [(1, 4, 1, True), (2, 4, 1, False), (3, 4, 1, False), (4, 1, 4, True), (5, 1, 4, False), (6, 0, 6, True), (6, 4, 1, False),
+            (None, 4, 1, False), (None, 0, None, True), (7, 0, 7, True), (8, 0, 8, True), (9, 0, 9, True), (10, 0, 10, True)]
+    assert got == sorted(want, key=repr)
+
+
+def test_components_that_do_not_settle_are_refused(spark):
+    chain = spark.createDataFrame([(k, k + 1) for k in range(40)], "a long, b long")
+    with pytest.raises(RuntimeError, match="settle"):
+        min_label_components(chain, max_rounds=1)
+
+
+def test_lines_of_one_text_in_proportion(spark):
+    lines = [f"line {k} of very many" for k in range(30_000)]
+    rows = [(1, "\n".join(lines)), (2, "\n".join(lines[100:200]))]
+    out = {r.doc_id: (r.n_lines, r.n_removed) for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {1: (30_000, 0), 2: (100, 100)}
+
+
+FOREIGN = """
+import sys, os
+os.chdir("/")
+sys.path.insert(0, sys.argv[1])
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local-cluster[1,2,1200]").config("spark.ui.enabled", "false").config(
+    "spark.executor.memory", "1100m").config("spark.sql.shuffle.partitions", "4").config("spark.checkpoint.dir", sys.argv[2]).getOrCreate()
+spark.sparkContext.setLogLevel("ERROR")
+import __spark_entry__ as E
+sys.path.remove(sys.argv[1])
+for name in ("op2_token_counts", "op5_decontamination", "op6_toxicity", "op8_quality", "op11_language_id", "op12_hard_negatives", "op13_spelling"):
+    print(name, E.queries()[name](spark, "/root/testdata/sf0.001").count(), flush=True)
+"""
+
+
+def test_executors_need_no_installed_package(tmp_dir):
+    """A driver elsewhere, executors in processes of their own without the
+    package on their path."""
+    here = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH" or here not in v}
+    got = subprocess.run([sys.executable, "-c", FOREIGN, here, tmp_dir], env=env, cwd="/", capture_output=True, text=True, timeout=600)
+    assert got.returncode == 0, got.stderr[-3000:]
+    assert len(got.stdout.strip().splitlines()) == 7
+
+
 def test_jaccard_matches_brute_force(spark, odd):
     docs = table(spark, SF, "documents", "doc_id", "text")
     sets = {}
