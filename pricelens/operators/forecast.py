@@ -279,13 +279,11 @@ def forecast_future(forecast: DataFrame) -> DataFrame:
 
 def forecast_recent(forecast: DataFrame, as_of=None, days: int = FORECAST_RECENT_DAYS) -> DataFrame:
     """B-17: every series from ``days`` before ``as_of``, future included.
-    ``as_of="latest_actual"`` anchors at the newest actual date of all series:
-    a window over a forecast's rows (history and horizon of the forecast
-    series, one row a week), not a second pass."""
+    ``as_of="latest_actual"`` anchors at the newest actual date of all series,
+    a scalar over partial maxima; the rows themselves are never gathered."""
     if isinstance(as_of, str) and as_of == LATEST_ACTUAL:
-        anchor = F.max(F.when(F.col("actual_price").isNotNull(), F.col("price_date"))).over(Window.partitionBy())
-        return (forecast.withColumn("_anchor", anchor).filter(F.col("price_date") >= F.date_sub("_anchor", days))
-                .drop("_anchor").orderBy("product_name", "price_date"))
+        lower = F.date_sub(last_actual_date(forecast), days)
+        return forecast.filter(F.col("price_date") >= lower).orderBy("product_name", "price_date")
     lower = F.date_sub(as_of_column(as_of), days)
     return forecast.filter(F.col("price_date") >= lower).orderBy("product_name", "price_date")
 

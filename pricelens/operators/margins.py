@@ -1,5 +1,5 @@
 """Delivery margins against the latest regional diesel price (B-08, B-09,
-B-20..B-22) and the plan helper that broadcasts only bounded sides."""
+B-20..B-22)."""
 
 from __future__ import annotations
 
@@ -15,7 +15,6 @@ from pricelens.config import (
 )
 from pricelens.functions.numeric import round_exact
 from pricelens.operators.series import latest
-from pricelens.session import materialize
 from pricelens.sources.tables import require_zone_columns
 
 MARGIN_COLUMNS = (
@@ -40,12 +39,11 @@ def delivery_margins(regional: DataFrame, zones: DataFrame, cfg: Config = DEFAUL
     Zones whose region has no price drop (inner join); duplicate prices fan
     out.  Every output is rounded once from unrounded inputs; the fuel cost
     per delivery is named once and reused.  The price side is one date of
-    one product (bounded by the number of areas): it is written once to
-    the shared folder, and the planner broadcasts it by its file size, so the
-    zone table is not shuffled for this join.
+    one product; it is joined as a plan, no job runs while the query is
+    built, and the adaptive planner broadcasts it once its size is known.
     """
     zones = require_zone_columns(zones)
-    prices = materialize(latest_prices(regional, product or cfg.diesel_product))
+    prices = latest_prices(regional, product or cfg.diesel_product)
     joined = zones.join(prices.withColumnRenamed("duoarea", "_price_area"),
                         F.col("padd_region") == F.col("_price_area"), "inner")
     fuel = (F.col("avg_miles_per_delivery") / F.col("fleet_mpg")) * F.col("price_per_gallon")

@@ -355,6 +355,8 @@ def oracle_queries(test_baseline: float, test_rate: float) -> dict[str, str]:
                   FROM (SELECT load, LEAST({per_load}, n - load * {per_load}) AS total
                         FROM (SELECT n, UNNEST(RANGE(0, CAST(CEIL(n / {per_load}.0) AS BIGINT))) AS load
                               FROM (SELECT COUNT(*) AS n FROM {asked})))))""")
+    q["paged_source"] = with_chain(
+        f"SELECT {rec_cols} FROM {asked} WHERE starts_with(product, 'EPM') AND period >= '1995-01-01'")
     q["silver_prices"] = with_chain("SELECT * FROM silver")
     q["silver_rejects"] = with_chain("""
       SELECT * FROM (

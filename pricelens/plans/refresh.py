@@ -65,7 +65,8 @@ def refresh_all(spark: SparkSession, inputs: RefreshInputs, cfg: Config = DEFAUL
     Returns the row count of every written table (observed during the
     write).  ``model`` picks the forecast: ``additive`` or ``linear_seasonal``.
     With ``check_pages`` a page set holding fewer records than it declares
-    stops the run before anything is written.  Silver is partitioned by
+    stops the run before anything is written.  Tables may gain and widen
+    columns; only the zones, which an owner supplies, may change freely.  Silver is partitioned by
     product, so product filters of later reads prune files.
     """
     tb.ensure_namespaces(spark, cfg)
@@ -82,18 +83,18 @@ def refresh_all(spark: SparkSession, inputs: RefreshInputs, cfg: Config = DEFAUL
         bronze = pg.bronze_records(inputs.records, cfg, as_of, dedupe=True)
     else:
         raise ValueError("refresh needs records or a pages path")
-    counts["bronze"] = tb.write_table(bronze, t("bronze", "fuel_prices_raw"), evolve=True,
+    counts["bronze"] = tb.write_table(bronze, t("bronze", "fuel_prices_raw"), evolve="reconcile",
                                       partition_by=["period"])
 
     slv = silver.silver_prices(spark.table(t("bronze", "fuel_prices_raw")), cfg)
-    counts["silver"] = tb.write_table(slv, t("silver", "fuel_prices"), evolve=True,
+    counts["silver"] = tb.write_table(slv, t("silver", "fuel_prices"), evolve="reconcile",
                                       partition_by=["product"])
 
     src = spark.table(t("silver", "fuel_prices"))
     counts["weekly"] = tb.write_table(series.weekly_summary(src, cfg),
-                                      t("gold", "weekly_fuel_summary"), evolve=True)
+                                      t("gold", "weekly_fuel_summary"), evolve="reconcile")
     counts["regional"] = tb.write_table(series.regional_comparison(src, cfg),
-                                        t("gold", "regional_comparison"), evolve=True)
+                                        t("gold", "regional_comparison"), evolve="reconcile")
 
     weekly = spark.table(t("gold", "weekly_fuel_summary"))
     if model == "additive":
@@ -102,12 +103,12 @@ def refresh_all(spark: SparkSession, inputs: RefreshInputs, cfg: Config = DEFAUL
         forecast = fc.linear_seasonal_forecast(weekly, cfg)
     else:
         raise ValueError(f"unknown forecast model: {model}")
-    counts["forecast"] = tb.write_table(forecast, t("gold", "fuel_price_forecast"), evolve=True)
+    counts["forecast"] = tb.write_table(forecast, t("gold", "fuel_price_forecast"), evolve="reconcile")
 
     zones = tb.require_zone_columns(inputs.zones).select(*tb.ZONE_COLUMNS)
     counts["zones"] = tb.write_table(zones, t("gold", "delivery_zones"), evolve=True)
     config = inputs.surcharge_config or tb.surcharge_config_frame(spark)
-    counts["surcharge_config"] = tb.write_table(config, t("gold", "surcharge_config"), evolve=True)
+    counts["surcharge_config"] = tb.write_table(config, t("gold", "surcharge_config"), evolve="reconcile")
 
     spark.sql(margin_view_sql(cfg))
     return counts

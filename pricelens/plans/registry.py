@@ -36,6 +36,7 @@ from pricelens.session import materialize, scratch_path
 from pricelens.sources import loads as ld
 from pricelens.sources import pages as pg
 from pricelens.sources import tables as tb
+from pricelens.sources.page_source import land_paged, register_page_source
 from pricelens.sources.versions import VersionedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +87,17 @@ def _load_report(lay: Layers) -> DataFrame:
     return ld.load_report(landed, TEST_LOAD_PAGE_SIZE)
 
 
+@register("paged_source")
+def _paged_source(lay: Layers) -> DataFrame:
+    """Gasoline records of the newer half of the nineties, by the data source
+    over landed pages, which drops the others at the page."""
+    folder = _landed(lay, "paged")
+    land_paged(ld.records_to_load_pages(lay.records, TEST_LOAD_PAGE_SIZE, TEST_PAGES_PER_LOAD), folder)
+    register_page_source(lay.spark)
+    rows = lay.spark.read.format("paged_records").options(path=folder, page_size=TEST_LOAD_PAGE_SIZE).load()
+    return rows.filter(F.col("product").startswith("EPM") & (F.col("period") >= "1995-01-01"))
+
+
 @register("ingest_profile")
 def _ingest_profile(lay: Layers) -> DataFrame:
     return rd.ingest_profile(lay.bronze)

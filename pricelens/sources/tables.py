@@ -14,6 +14,7 @@ from pricelens.config import (
     STORED_RATE,
     Config,
 )
+from pricelens.sources.evolution import conform, reconcile
 
 SURCHARGE_CONFIG_SCHEMA = T.StructType([
     T.StructField("baseline_fuel_price", T.DoubleType()),
@@ -36,18 +37,25 @@ def ensure_namespaces(spark: SparkSession, cfg: Config = DEFAULT) -> list[str]:
     return names
 
 
-def write_table(df: DataFrame, name: str, evolve: bool = False,
+def write_table(df: DataFrame, name: str, evolve: bool | str = False,
                 partition_by: list[str] | None = None) -> int:
     """Full-refresh sink.  Returns the written row count, measured by an
     ``observe`` metric during the write instead of a second scan.
 
-    Without ``evolve`` a schema change against an existing table raises.
+    ``evolve`` says what may become of an existing table's schema: ``False``
+    refuses any change, ``"reconcile"`` lets columns be added or widened and
+    keeps those that are missing (see ``evolution``), ``True`` replaces it.
     """
     spark = df.sparkSession
-    if not evolve and spark.catalog.tableExists(name):
+    if evolve is not True and spark.catalog.tableExists(name):
         old = spark.table(name).schema
-        if [(f.name, f.dataType) for f in old] != [(f.name, f.dataType) for f in df.schema]:
-            raise ValueError(f"schema of {name} would change; pass evolve=True to allow it")
+        by_name = {f.name: f.dataType for f in old}
+        if by_name != {f.name: f.dataType for f in df.schema}:
+            if evolve != "reconcile":
+                raise ValueError(f"schema of {name} would change; pass evolve to allow it")
+            df = conform(df, reconcile(T.StructType([f for f in old]), df.schema))
+        elif not evolve and [f.name for f in old] != df.columns and not partition_by:
+            raise ValueError(f"column order of {name} would change; pass evolve to allow it")
     obs = Observation(f"write_{name.replace('.', '_')}")
     writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format("parquet")
     if partition_by:

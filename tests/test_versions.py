@@ -106,3 +106,17 @@ def test_reconcile_by_type(spark):
     with pytest.raises(SchemaChangeError, match="without a type"):
         reconcile(old, T.StructType().add("v", T.NullType()))
     assert conform(spark.range(1), T.StructType().add("id", "long").add("z", "date")).first() == (0, None)
+
+
+def test_table_sink_reconciles(spark):
+    from pricelens.sources import tables as tb
+    tb.ensure_namespaces(spark)
+    name = "bronze.t_reconcile"
+    tb.write_table(spark.createDataFrame([(1, "a")], "k int, v string"), name, evolve=True)
+    with pytest.raises(ValueError):
+        tb.write_table(spark.createDataFrame([(1,)], "k long"), name)
+    assert tb.write_table(spark.createDataFrame([(2 ** 40, 1.5)], "k long, w double"), name, evolve="reconcile") == 1
+    assert spark.table(name).dtypes == [("k", "bigint"), ("v", "string"), ("w", "double")]
+    with pytest.raises(SchemaChangeError, match="v: string to int"):
+        tb.write_table(spark.createDataFrame([(1, 1)], "k long, v int"), name, evolve="reconcile")
+    assert spark.table(name).count() == 1
