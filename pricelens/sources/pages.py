@@ -135,6 +135,14 @@ def require_readable(pages: DataFrame) -> None:
         raise ValueError(f"{broken} landed pages cannot be read")
 
 
+def readable(pages: DataFrame) -> DataFrame:
+    """``pages`` with a check in the plan: the job that reads them fails at a
+    page without a record array (see ``require_readable``, which scans)."""
+    data = F.col("response.data")
+    checked = F.when(data.isNull(), F.raise_error(F.lit("a landed page cannot be read"))).otherwise(data)
+    return pages.withColumn("response", F.struct(F.col("response.total").alias("total"), checked.alias("data")))
+
+
 def bronze_records(records: DataFrame, cfg: Config = DEFAULT, as_of=None,
                    source: str | None = None, dedupe: bool = True) -> DataFrame:
     """Raw records -> bronze rows: tracked products only, exact copies from

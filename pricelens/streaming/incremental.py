@@ -13,9 +13,14 @@ the stream before its batch is merged.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import threading
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from pricelens.config import DEFAULT, Config
+from pricelens.plans.incremental import IncrementalLayers
 from pricelens.session import scratch_path
 from pricelens.sources import pages as pg
 from pricelens.sources import tables as tb
@@ -56,3 +61,61 @@ def stream_pages_to_bronze(spark: SparkSession, landing_dir: str, cfg: Config =
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start())
+
+
+BATCH_METRICS = "landed_records"
+
+
+class BatchMetrics(StreamingQueryListener):
+    """Counts of every micro-batch, as the stream's progress reports them:
+    records in, tracked (of an ingested product), rejected (tracked, but
+    without a readable value or period)."""
+
+    def __init__(self):
+        self.batches: dict[int, dict[str, int]] = {}
+        self.ended = threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        self.ended.clear()
+
+    def onQueryProgress(self, event) -> None:
+        row = event.progress.observedMetrics.get(BATCH_METRICS)
+        if row is not None:
+            self.batches[event.progress.batchId] = row.asDict()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.set()
+
+
+def counted(records: DataFrame, name: str | Observation, cfg: Config = DEFAULT) -> DataFrame:
+    """``records`` with the counts of ``BatchMetrics`` observed as they pass."""
+    tracked = F.col("product").isin(list(cfg.ingest_products))
+    unreadable = F.col("value").try_cast("double").isNull() | F.col("period").try_cast("date").isNull()
+    return records.observe(name, F.count(F.lit(1)).alias("records"), F.count_if(tracked).alias("tracked"),
+                           F.count_if(tracked & unreadable).alias("rejected"))
+
+
+def stream_pages_to_layers(spark: SparkSession, landing_dir: str, layers: IncrementalLayers, checkpoint: str,
+                           cfg: Config = DEFAULT, max_files_per_trigger: int | None = None, writer: str = "stream"):
+    """Start an ``availableNow`` stream of landed page files into versioned
+    bronze, silver and gold tables.
+
+    A batch is read once: its counts are observed on the way (add a
+    ``BatchMetrics`` listener to see them), a broken page fails the job that
+    writes it, and no table changes.  Every table keeps the number of the last
+    batch of ``writer`` it holds, so a batch that a restarted stream repeats
+    completes what is missing and changes nothing else.
+    """
+    reader = spark.readStream.schema(pg.PAGE_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    records = counted(pg.flatten_pages(pg.readable(reader.json(landing_dir))), BATCH_METRICS, cfg)
+
+    def each_batch(batch: DataFrame, epoch: int) -> None:
+        layers.load(batch, epoch, writer=writer)
+
+    return (records.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
