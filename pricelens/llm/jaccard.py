@@ -26,7 +26,9 @@ small that unrelated sets share them), with some segments to spare.
   shingles as bits), then verified exactly on the whole shingle sets.
 
 Sets are compared as 64-bit shingle hashes: two different shingles of one pair
-share a hash once in about 2**63 / size**2 pairs.  Null and empty texts and texts
+share a hash once in about 2**63 / size**2 pairs.  Documents are numbered by 64
+bits of (id, text digest): of n different ones, about n**2 / 2**65 pairs share
+a number and may be taken for each other.  Null and empty texts and texts
 without words have no shingles and link with nothing.  Rows with a null id have
 no component and do not take part in links.  Rows that repeat an id are linked
 each by its own text; equal sets are one node whatever their ids.  An empty table
@@ -160,13 +162,16 @@ def _digest(h: np.ndarray) -> bytes:
 def _sets(words: int):
     def run(batches):
         for batch in batches:
-            sets = [shingle_set(x.as_py(), words) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(map(len, sets), pa.int64()), pa.array(map(_digest, sets), pa.binary()),
-                 pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64()))], ["doc_id", "size", "digest", "shingles"])
+            sets = [shingle_set(x.as_py(), words).view(np.int64) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["rep", "shingles"])
     return run
 
 
+def _row(text_md5: Column) -> Column:
+    """The number of a document: 64 bits of its id and its text's digest."""
+    return F.xxhash64(F.col("doc_id"), text_md5)
+
+
 def _may_link(t: Fraction) -> Column:
     """Bounds that every linked pair keeps: sizes, and the bits in which the odd
     sketches differ, each the work of a differing shingle."""
@@ -183,12 +188,10 @@ def _verified(pairs: DataFrame, reps: DataFrame, src: DataFrame, words: int, t:
     near = (pairs.join(info.select(F.col("rep").alias("a"), F.col("size").alias("na"), F.col("odd").alias("oa")), "a")
             .join(info.select(F.col("rep").alias("b"), F.col("size").alias("nb"), F.col("odd").alias("ob")), "b"))
     near = written(near.filter(_may_link(t)).select("a", "b", "na", "nb"))
-    ids = near.select(F.col("a").alias("rep")).union(near.select("b")).distinct()
-    ids = written(reps.join(ids, "rep", "left_semi").select("rep", "doc_id", "size", "digest"))
-    # an id may have several texts: the digest tells which one is meant
-    sets = written(src.join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
-                   .mapInArrow(_sets(words), "doc_id long, size long, digest binary, shingles array<long>")
-                   .join(ids, ["doc_id", "size", "digest"]).select("rep", "shingles").dropDuplicates(["rep"]))
+    ids = written(near.select(F.col("a").alias("rep")).union(near.select("b")).distinct())
+    texts = src.select(_row(F.unhex(F.md5(F.col("text").cast("binary")))).alias("rep"), "text")
+    sets = written(texts.join(ids, "rep", "left_semi").mapInArrow(_sets(words), "rep long, shingles array<long>")
+                   .dropDuplicates(["rep"]))
     both = (near.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
             .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b"))
     common = F.size(F.array_intersect("sa", "sb"))
@@ -206,12 +209,13 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: str = "0.8",
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = written(src.mapInArrow(_sign(words, t), "doc_id long, text_md5 binary, size long, digest binary, "
                                     "odd array<long>, sig array<long>, role array<int>")
-                     .withColumn("row", F.monotonically_increasing_id()))
+                     .withColumn("row", _row(F.col("text_md5"))))
     per_set = signed.filter("size > 0 and doc_id is not null")
     # a set is known by one row of it that was signed; least is its smallest id of all
     reps = written(per_set.groupBy("size", "digest").agg(
-        F.min(F.when(F.col("sig").isNotNull(), F.struct("doc_id", "row"))).alias("of"), F.min("doc_id").alias("least"),
-        F.first("odd").alias("odd")).select("size", "digest", "of.doc_id", F.col("of.row").alias("rep"), "least", "odd"))
+        F.min(F.when(F.col("sig").isNotNull(), F.struct("doc_id", "row"))).alias("of"),
+        F.min("doc_id").alias("least"), F.first("odd").alias("odd"))
+        .select("size", "digest", F.col("of.row").alias("rep"), "least", "odd"))
     rows = (per_set.filter("sig is not null")
             .select(F.col("row").alias("rep"), F.explode(F.arrays_zip("sig", "role")).alias("s"))
             .select("rep", "s.sig", "s.role"))
