@@ -1,4 +1,4 @@
-"""The scale fallbacks: bounded broadcasts and partition-scoped merges."""
+"""Bounded sides, partition-scoped merges and other paths that matter at scale."""
 
 import datetime as dt
 import glob
