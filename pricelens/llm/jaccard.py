@@ -26,9 +26,11 @@ small that unrelated sets share them), with some segments to spare.
   shingles as bits), then verified exactly on the whole shingle sets.
 
 Sets are compared as 64-bit shingle hashes: two different shingles of one pair
-share a hash once in about 2**63 / size**2 pairs.  Documents are numbered by 64
-bits of (id, text digest): of n different ones, about n**2 / 2**65 pairs share
-a number and may be taken for each other.  Null and empty texts and texts
+share a hash once in about 2**63 / size**2 pairs.  A document is numbered by its
+id, which is short in every shuffle; only where an id has several texts, by 64
+bits of (id, text digest).  Such a number meets another document's with a chance
+of about n / 2**64 for n documents, and the two may then be taken for each
+other.  Null and empty texts and texts
 without words have no shingles and link with nothing.  Rows with a null id have
 no component and do not take part in links.  Rows that repeat an id are linked
 each by its own text; equal sets are one node whatever their ids.  An empty table
@@ -167,9 +169,13 @@ def _sets(words: int):
     return run
 
 
-def _row(text_md5: Column) -> Column:
-    """The number of a document: 64 bits of its id and its text's digest."""
-    return F.xxhash64(F.col("doc_id"), text_md5)
+def _numbered(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, text_md5, ...) with ``row``, the number of the document:
+    its id, or 64 bits of (id, text digest) where ``repeated`` lists the id."""
+    several = repeated.select(F.col("doc_id").alias("several"))
+    return (rows.join(several, F.col("doc_id") == F.col("several"), "left")
+            .withColumn("row", F.when(F.col("several").isNull(), F.col("doc_id"))
+                        .otherwise(F.xxhash64("doc_id", "text_md5"))).drop("several"))
 
 
 def _may_link(t: Fraction) -> Column:
@@ -181,7 +187,8 @@ def _may_link(t: Fraction) -> Column:
             & (apart * (up + down) <= (F.col("na") + F.col("nb")) * (down - up)))
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, src: DataFrame, words: int, t: Fraction) -> DataFrame:
+def _verified(pairs: DataFrame, reps: DataFrame, src: DataFrame, repeated: DataFrame, words: int,
+              t: Fraction) -> DataFrame:
     """The candidate pairs (a, b) that link, on whole shingle sets."""
     up, down = t.numerator, t.denominator
     info = reps.select("rep", "size", "odd")
@@ -189,7 +196,8 @@ def _verified(pairs: DataFrame, reps: DataFrame, src: DataFrame, words: int, t:
             .join(info.select(F.col("rep").alias("b"), F.col("size").alias("nb"), F.col("odd").alias("ob")), "b"))
     near = written(near.filter(_may_link(t)).select("a", "b", "na", "nb"))
     ids = written(near.select(F.col("a").alias("rep")).union(near.select("b")).distinct())
-    texts = src.select(_row(F.unhex(F.md5(F.col("text").cast("binary")))).alias("rep"), "text")
+    texts = _numbered(src.withColumn("text_md5", F.unhex(F.md5(F.col("text").cast("binary")))), repeated)
+    texts = texts.select(F.col("row").alias("rep"), "text")
     sets = written(texts.join(ids, "rep", "left_semi").mapInArrow(_sets(words), "rep long, shingles array<long>")
                    .dropDuplicates(["rep"]))
     both = (near.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
@@ -208,9 +216,12 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: str = "0.8",
     t = Fraction(threshold)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = written(src.mapInArrow(_sign(words, t), "doc_id long, text_md5 binary, size long, digest binary, "
-                                    "odd array<long>, sig array<long>, role array<int>")
-                     .withColumn("row", _row(F.col("text_md5"))))
-    per_set = signed.filter("size > 0 and doc_id is not null")
+                                    "odd array<long>, sig array<long>, role array<int>"))
+    # ids with several texts
+    repeated = written(signed.filter("size > 0 and doc_id is not null").groupBy("doc_id")
+                       .agg(F.min("text_md5").alias("lo"), F.max("text_md5").alias("hi"))
+                       .filter("lo <> hi").select("doc_id"))
+    per_set = _numbered(signed.filter("size > 0 and doc_id is not null"), repeated)
     # a set is known by one row of it that was signed; least is its smallest id of all
     reps = written(per_set.groupBy("size", "digest").agg(
         F.min(F.when(F.col("sig").isNotNull(), F.struct("doc_id", "row"))).alias("of"),
@@ -241,7 +252,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: str = "0.8",
     shares = star.filter("hub <> rep").groupBy("rep", "hub").agg(F.count("*").alias("k"))
     best = shares.groupBy("rep").agg(F.max(F.struct("k", (-F.col("hub")).alias("h"))).alias("m"))
     tested = written(best.select((-F.col("m.h")).alias("hub"), "rep").select(*pair).distinct())
-    links = written(_verified(tested, reps, src, words, t))
+    links = written(_verified(tested, reps, src, repeated, words, t))
     part = written(min_label_components(links))
     # members that their hub's component did not take in
     label = star.join(part.select(F.col("node").alias("rep"), F.col("component_id").alias("c")), "rep", "left")
@@ -259,7 +270,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: str = "0.8",
                       & (F.col("px") | F.col("py")) & _may_link(t))
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
             .join(tested, ["a", "b"], "left_anti"))
-    found = written(_verified(more, reps, src, words, t))
+    found = written(_verified(more, reps, src, repeated, words, t))
     graph = links.unionByName(found)
     whole = min_label_components(graph).withColumnRenamed("node", "rep")
     named = written(reps.join(whole, "rep", "left").select("size", "digest", "rep", "least",
