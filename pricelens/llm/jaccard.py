@@ -26,11 +26,12 @@ small that unrelated sets share them), with some segments to spare.
   shingles as bits), then verified exactly on the whole shingle sets.
 
 Sets are compared as 64-bit shingle hashes: two different shingles of one pair
-share a hash once in about 2**63 / size**2 pairs.  A document is numbered by its
-id, which is short in every shuffle; only where an id has several texts, by 64
-bits of (id, text digest).  Such a number meets another document's with a chance
-of about n / 2**64 for n documents, and the two may then be taken for each
-other.  Null and empty texts and texts
+share a hash once in about 2**63 / size**2 pairs.  A set is numbered by 64 bits of
+its digest, so that copies signed in different tasks fold where their signatures
+meet: of n different sets, about n**2 / 2**65 pairs share a number and may be
+taken for each other.  A document whose text stands for its set is found by its
+id, or, where an id has several texts, by 64 bits of (id, text digest).  Null and
+empty texts and texts
 without words have no shingles and link with nothing.  Rows with a null id have
 no component and do not take part in links.  Rows that repeat an id are linked
 each by its own text; equal sets are one node whatever their ids.  An empty table
@@ -164,11 +165,18 @@ def _digest(h: np.ndarray) -> bytes:
 def _sets(words: int):
     def run(batches):
         for batch in batches:
-            sets = [shingle_set(x.as_py(), words).view(np.int64) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["rep", "shingles"])
+            sets = [shingle_set(x.as_py(), words) for x in batch.column(1)]
+            cols = [[len(h) for h in sets], [_digest(h) for h in sets], [h.view(np.int64) for h in sets]]
+            kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
+                                             ["size", "digest", "shingles"])
     return run
 
 
+def _set_number() -> Column:
+    return F.xxhash64("size", "digest")
+
+
 def _numbered(rows: DataFrame, repeated: DataFrame) -> DataFrame:
     """``rows`` (doc_id, text_md5, ...) with ``row``, the number of the document:
     its id, or 64 bits of (id, text digest) where ``repeated`` lists the id."""
@@ -197,9 +205,10 @@ def _verified(pairs: DataFrame, reps: DataFrame, src: DataFrame, repeated: DataF
     near = written(near.filter(_may_link(t)).select("a", "b", "na", "nb"))
     ids = written(near.select(F.col("a").alias("rep")).union(near.select("b")).distinct())
     texts = _numbered(src.withColumn("text_md5", F.unhex(F.md5(F.col("text").cast("binary")))), repeated)
-    texts = texts.select(F.col("row").alias("rep"), "text")
-    sets = written(texts.join(ids, "rep", "left_semi").mapInArrow(_sets(words), "rep long, shingles array<long>")
-                   .dropDuplicates(["rep"]))
+    carriers = written(reps.join(ids, "rep", "left_semi").select("row"))
+    sets = (texts.join(carriers, "row", "left_semi").select("row", "text")
+            .mapInArrow(_sets(words), "size long, digest binary, shingles array<long>")
+            .select(_set_number().alias("rep"), "shingles").dropDuplicates(["rep"]))  # both joins read this one shuffle
     both = (near.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
             .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b"))
     common = F.size(F.array_intersect("sa", "sb"))
@@ -221,18 +230,18 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: str = "0.8",
     repeated = written(signed.filter("size > 0 and doc_id is not null").groupBy("doc_id")
                        .agg(F.min("text_md5").alias("lo"), F.max("text_md5").alias("hi"))
                        .filter("lo <> hi").select("doc_id"))
-    per_set = _numbered(signed.filter("size > 0 and doc_id is not null"), repeated)
-    # a set is known by one row of it that was signed; least is its smallest id of all
-    reps = written(per_set.groupBy("size", "digest").agg(
-        F.min(F.when(F.col("sig").isNotNull(), F.struct("doc_id", "row"))).alias("of"),
-        F.min("doc_id").alias("least"), F.first("odd").alias("odd"))
-        .select("size", "digest", F.col("of.row").alias("rep"), "least", "odd"))
+    per_set = signed.filter("size > 0 and doc_id is not null")
+    # row: one document that holds the set; least: its smallest id of all
+    reps = written(_numbered(per_set.drop("sig", "role"), repeated).groupBy("size", "digest").agg(
+        F.min("row").alias("row"), F.min("doc_id").alias("least"), F.first("odd").alias("odd"))
+        .withColumn("rep", _set_number()))
     rows = (per_set.filter("sig is not null")
-            .select(F.col("row").alias("rep"), F.explode(F.arrays_zip("sig", "role")).alias("s"))
+            .select(_set_number().alias("rep"), F.explode(F.arrays_zip("sig", "role")).alias("s"))
             .select("rep", "s.sig", "s.role"))
     group = Window.partitionBy("sig")
-    shared = rows.withColumn("n", F.count("*").over(group)).filter("n > 1")
-    shared = written(shared.join(reps.select("rep"), "rep", "left_semi").distinct())
+    # signatures that different sets share; copies of one set from several tasks fold in place
+    met = rows.withColumns({"lo": F.min("rep").over(group), "hi": F.max("rep").over(group)}).filter("lo <> hi")
+    shared = written(met.select("rep", "sig", "role").distinct().withColumn("n", F.count("*").over(group)))
     # allocation: leave out the most frequent segments that the set can spare
     costly = (Window.partitionBy("rep").orderBy(F.col("n").desc(), "sig")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
