@@ -8,7 +8,7 @@ grows linearly with input rows x grid points, both explicit.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelens.config import (
@@ -150,3 +150,53 @@ def surcharge_series_grid(bridged: DataFrame, fleet: Fleet = Fleet(),
         js_round(above / F.lit(SURCHARGE_STEP) * F.col("surcharge_rate") * deliveries).alias("surcharge_revenue"),
         "is_forecast",
     )
+
+
+def scenario_totals(prices: DataFrame, fleet: Fleet = Fleet(),
+                    rate_cents: tuple[int, int, int] = RATE_GRID_CENTS,
+                    baseline_cents: tuple[int, int, int] = BASELINE_GRID_CENTS,
+                    by: tuple[str, ...] = ("product",)) -> DataFrame:
+    """B-25/B-28 over whole series: the totals of every (baseline, rate) point
+    per ``by``, from rows with ``actual_price`` and ``forecast_price``.
+
+    No price meets the grid.  Each falls into the bucket of the baselines below
+    it, found by arithmetic and summed before the shuffle, so a series of any
+    length leaves at most one row for each baseline.  Running sums from the
+    highest bucket down then give, at a baseline b, the sum over the prices
+    above b of (price - b).  Prices count in whole millionths, so the sums are
+    exact.  Rows without a price or a date add nothing; a series without prices
+    has no rows.
+    """
+    low, high, step = (c * 10_000 for c in baseline_cents)  # millionths
+    points = (high - low) // step + 1
+    keys = list(by)
+    price = round_exact(series_price(F.col("actual_price"), F.col("forecast_price")), 6)
+    micro = (price.cast("decimal(24,6)") * F.lit(1_000_000)).cast("long")
+    rows = prices.filter(F.col("price_date").isNotNull()).select(*keys, micro.alias("p")).filter("p is not null")
+    below = F.least(F.lit(points), F.greatest(F.lit(0), F.expr(f"(p - {low} + {step - 1}) div {step}")))
+    none = F.lit(0).cast("decimal(38,0)")
+    buckets = rows.groupBy(*keys, below.cast("long").alias("k")).agg(
+        F.sum(F.col("p").cast("decimal(20,0)")).cast("decimal(38,0)").alias("s"), F.count("*").alias("n"))
+    marks = (buckets.select(*keys).distinct()
+             .select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(points - 1).cast("long"))).alias("k"),
+                     none.alias("s"), F.lit(0).cast("long").alias("n")))
+    line = buckets.unionByName(marks).groupBy(*keys, "k").agg(
+        F.sum("s").cast("decimal(38,0)").alias("s"), F.sum("n").alias("n"))
+    higher = (Window.partitionBy(*keys).orderBy(F.col("k").desc())
+              .rowsBetween(Window.unboundedPreceding, -1))
+    base = F.lit(low) + F.col("k") * F.lit(step)
+    at = line.withColumns({"s": F.sum("s").over(higher), "n": F.sum("n").over(higher)}).filter(F.col("k") < points)
+    total = F.coalesce(F.col("s"), none) - (F.coalesce(F.col("n"), F.lit(0)) * base).cast("decimal(38,0)")
+    at = at.select(*keys, (base / F.lit(10_000).cast("long")).alias("c"), F.coalesce("n", F.lit(0)).alias("weeks_above"),
+                   (total.cast("double") / F.lit(1_000_000.0)).alias("above"))
+    grid = at.select("*", (F.col("c") / F.lit(100.0)).alias("baseline_fuel_price"),
+                     F.explode(_grid(rate_cents)).alias("surcharge_rate"))
+    deliveries = F.lit(float(fleet.weekly_deliveries))
+    extra = F.col("above") * F.lit(float(fleet.gallons_per_delivery)) * deliveries
+    revenue = F.col("above") / F.lit(SURCHARGE_STEP) * F.col("surcharge_rate") * deliveries
+    recovery = F.when(extra > 0, revenue / extra * F.lit(100.0)).otherwise(F.lit(100.0))
+    return grid.select(
+        *keys, "baseline_fuel_price", "surcharge_rate", "weeks_above",
+        round_exact("above", 6).alias("total_above_baseline"), round_exact(extra, 6).alias("total_extra_fuel_cost"),
+        round_exact(revenue, 6).alias("total_surcharge_revenue"), round_exact(revenue - extra, 6).alias("total_gap"),
+        round_exact(recovery, 6).alias("recovery_pct"), recovery_band(recovery, F.col("above")).alias("recovery_band"))

@@ -470,4 +470,24 @@ def oracle_queries(test_baseline: float, test_rate: float) -> dict[str, str]:
            (SELECT CAST(i AS DOUBLE) / 100.0e0 AS b FROM generate_series({lo_b}, {hi_b}, {st_b}) g(i)) gb,
            (SELECT CAST(i AS DOUBLE) / 100.0e0 AS r FROM generate_series({lo_r}, {hi_r}, {st_r}) g(i)) gr
       WHERE price_date IS NOT NULL AND price IS NOT NULL""")
+    extra, revenue = f"above * {gal} * {dl}", f"above / {_f(C.SURCHARGE_STEP)} * r * {dl}"
+    q["surcharge_totals"] = with_chain(f"""
+      SELECT product, b AS baseline_fuel_price, r AS surcharge_rate, weeks_above,
+             {rx("above", 6)} AS total_above_baseline, {rx("extra", 6)} AS total_extra_fuel_cost,
+             {rx("revenue", 6)} AS total_surcharge_revenue, {rx("revenue - extra", 6)} AS total_gap,
+             {rx("recovery", 6)} AS recovery_pct,
+             CASE WHEN NOT above > 0 THEN NULL WHEN recovery >= {_f(C.RECOVERY_GOOD)} THEN 'good'
+                  WHEN recovery >= {_f(C.RECOVERY_PARTIAL)} THEN 'partial' ELSE 'poor' END AS recovery_band
+      FROM (SELECT *, CASE WHEN extra > 0 THEN revenue / extra * 100.0e0 ELSE 100.0e0 END AS recovery
+            FROM (SELECT *, {extra} AS extra, {revenue} AS revenue
+                  FROM (SELECT product, CAST(i AS DOUBLE) / 100.0e0 AS b,
+                               COUNT(*) FILTER (WHERE p > i * 10000) AS weeks_above,
+                               CAST(SUM(GREATEST(0, p - i * 10000)) AS DOUBLE) / 1000000.0e0 AS above
+                        FROM (SELECT product, CAST(ROUND(CAST(price AS DECIMAL(24,8)), 6) * 1000000 AS BIGINT) AS p
+                              FROM (SELECT *, COALESCE(NULLIF(actual_price, 0), NULLIF(forecast_price, 0)) AS price
+                                    FROM fcast) f WHERE price IS NOT NULL AND price_date IS NOT NULL) s,
+                             generate_series({lo_b}, {hi_b}, {st_b}) g(i)
+                        GROUP BY product, i) t,
+                       (SELECT CAST(i AS DOUBLE) / 100.0e0 AS r
+                        FROM generate_series({lo_r}, {hi_r}, {st_r}) h(i)) gr))""")
     return q

@@ -373,5 +373,11 @@ def _surcharge_series_grid(lay: Layers) -> DataFrame:
                                     baseline_cents=TEST_BASELINE_GRID_CENTS)
 
 
+@register("surcharge_totals", "forecast")
+def _surcharge_totals(lay: Layers) -> DataFrame:
+    """Totals of every scenario over the whole series, history and horizon."""
+    return sc.scenario_totals(_baseline(lay), lay.cfg.fleet, baseline_cents=TEST_BASELINE_GRID_CENTS)
+
+
 def all_queries() -> dict[str, Query]:
     return dict(_REGISTRY)

@@ -84,3 +84,54 @@ def test_fleet_from_zones(spark):
 def test_price_equal_to_baseline_has_no_band(spark):
     r = sc.surcharge_point(latest(spark, [4.5]), baseline=4.5, rate=0.35).first()
     assert (r.above_baseline, r.recovery_pct, r.recovery_band) == (0.0, 100.0, None)
+
+
+PRICES = "product string, price_date date, actual_price double, forecast_price double, is_forecast boolean"
+
+
+def series_rows(seed, n):
+    import random
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        price = rng.choice([rng.uniform(0.2, 3.5), rng.randrange(50, 305, 5) / 100, 0.0, None, -1.0])
+        date = None if rng.random() < 0.05 else dt.date(2020, 1, 5) + dt.timedelta(weeks=i)
+        product = rng.choice(["A", "A", "A", "B", None])
+        out.append((product, date, *((price, 9.0) if rng.random() < 0.6 else (None, price)), price is None))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_scenario_totals_equal_the_exploded_grid(spark, seed):
+    grid, rates = (50, 300, 5), (0, 100, 25)
+    rows = series_rows(seed, 300)
+    got = {(r.product, r.baseline_fuel_price, r.surcharge_rate): r for r in sc.scenario_totals(
+        spark.createDataFrame(rows, PRICES).repartition(7), Fleet(), rates, grid).collect()}
+    prices = {}
+    for product, date, actual, forecast, _ in rows:
+        price = actual or forecast
+        if date and price:
+            prices.setdefault(product, []).append(round(half_up(price, 6) * 1e6))
+    assert len(got) == len(prices) * 51 * 5
+    for (product, base, rate), r in got.items():
+        over = [p - round(base * 1e6) for p in prices[product] if p > round(base * 1e6)]
+        above, g, d = sum(over) / 1e6, Fleet().gallons_per_delivery, 5410.0
+        assert r.weeks_above == len(over) and r.total_above_baseline == half_up(above, 6)
+        assert r.total_extra_fuel_cost == pytest.approx(above * g * d, abs=1e-5)
+        assert r.total_surcharge_revenue == pytest.approx(above / 0.1 * rate * d, abs=1e-5)
+        assert (r.recovery_band is None) == (not over)
+
+
+def test_scenario_totals_without_prices(spark):
+    assert sc.scenario_totals(spark.createDataFrame([], PRICES)).count() == 0
+    none = spark.createDataFrame([("A", dt.date(2024, 1, 7), None, None, True)], PRICES)
+    assert sc.scenario_totals(none).count() == 0
+
+
+def test_scenario_totals_shuffle_buckets_not_rows(spark):
+    """The rows are summed to buckets before the only shuffle that follows their number."""
+    rows = spark.range(1000).selectExpr("'A' AS product", "date'2024-01-07' AS price_date",
+                                        "1.0D + id % 3 AS actual_price", "cast(null as double) AS forecast_price")
+    plan = sc.scenario_totals(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Join" not in plan
+    assert "partial_sum" in plan
