@@ -15,9 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pricelens.config import DEFAULT, Config
 from pricelens.operators import forecast as fc
 from pricelens.operators import series, silver
+from pricelens.plans.ledger import Step, StepLedger, content_version
 from pricelens.sources import pages as pg
 from pricelens.sources import tables as tb
 
+FORECAST_MODELS = {"additive": fc.additive_forecast, "linear_seasonal": fc.linear_seasonal_forecast}
+
 
 def _rx(expr: str, n: int) -> str:
     return f"CAST(ROUND(TRY_CAST(({expr}) AS DECIMAL(24,8)), {n}) AS DOUBLE)"
@@ -58,8 +61,59 @@ class RefreshInputs:
     surcharge_config: DataFrame | None = None
 
 
+def refresh_steps(spark: SparkSession, inputs: RefreshInputs, cfg: Config = DEFAULT, as_of=None,
+                  model: str = "additive", check_pages: bool = True) -> list[Step]:
+    """The tables of a refresh in their order, each with what it follows.
+    ``source``, ``zones_in`` and ``config_in`` are outside inputs."""
+    t = cfg.table
+
+    def bronze() -> int:
+        if inputs.pages_path is not None:
+            landed = pg.read_pages(spark, inputs.pages_path)
+            if check_pages:
+                pg.require_complete(landed)
+            raw = pg.flatten_pages(landed)
+        else:
+            raw = inputs.records
+        return tb.write_table(pg.bronze_records(raw, cfg, as_of, dedupe=True), t("bronze", "fuel_prices_raw"),
+                              evolve="reconcile", partition_by=["period"])
+
+    def silver_rows() -> int:
+        rows = silver.silver_prices(spark.table(t("bronze", "fuel_prices_raw")), cfg)
+        return tb.write_table(rows, t("silver", "fuel_prices"), evolve="reconcile", partition_by=["product"])
+
+    def gold(build, source: str, name: str):
+        return lambda: tb.write_table(build(spark.table(source), cfg), t("gold", name), evolve="reconcile")
+
+    def zones() -> int:
+        rows = tb.require_zone_columns(inputs.zones).select(*tb.ZONE_COLUMNS)
+        return tb.write_table(rows, t("gold", "delivery_zones"), evolve=True)
+
+    def config() -> int:
+        rows = inputs.surcharge_config or tb.surcharge_config_frame(spark)
+        return tb.write_table(rows, t("gold", "surcharge_config"), evolve="reconcile")
+
+    if inputs.records is None and inputs.pages_path is None:
+        raise ValueError("refresh needs records or a pages path")
+    if model not in FORECAST_MODELS:
+        raise ValueError(f"unknown forecast model: {model}")
+    own, silver_table, weekly_table = repr(cfg), t("silver", "fuel_prices"), t("gold", "weekly_fuel_summary")
+    return [
+        Step("bronze", t("bronze", "fuel_prices_raw"), ("source",), bronze, f"{own} {as_of} {check_pages}"),
+        Step("silver", silver_table, ("bronze",), silver_rows, own),
+        Step("weekly", weekly_table, ("silver",), gold(series.weekly_summary, silver_table, "weekly_fuel_summary"), own),
+        Step("regional", t("gold", "regional_comparison"), ("silver",),
+             gold(series.regional_comparison, silver_table, "regional_comparison"), own),
+        Step("forecast", t("gold", "fuel_price_forecast"), ("weekly",),
+             gold(FORECAST_MODELS[model], weekly_table, "fuel_price_forecast"), f"{own} {model}"),
+        Step("zones", t("gold", "delivery_zones"), ("zones_in",), zones),
+        Step("surcharge_config", t("gold", "surcharge_config"), ("config_in",), config),
+    ]
+
+
 def refresh_all(spark: SparkSession, inputs: RefreshInputs, cfg: Config = DEFAULT,
-                as_of=None, model: str = "additive", check_pages: bool = True) -> dict[str, int]:
+                as_of=None, model: str = "additive", check_pages: bool = True,
+                ledger: str | None = None) -> dict[str, int]:
     """Run bronze -> silver -> gold -> forecast -> zones/config -> view.
 
     Returns the row count of every written table (observed during the
@@ -68,47 +122,20 @@ def refresh_all(spark: SparkSession, inputs: RefreshInputs, cfg: Config = DEFAUL
     stops the run before anything is written.  Tables may gain and widen
     columns; only the zones, which an owner supplies, may change freely.  Silver is partitioned by
     product, so product filters of later reads prune files.
+
+    With ``ledger``, a folder, a run goes on where an earlier one failed, and
+    only the steps behind a changed input run again (see ``plans.ledger``).
+    That takes one scan of each outside input for its version.
     """
     tb.ensure_namespaces(spark, cfg)
-    counts: dict[str, int] = {}
-    t = cfg.table
-
-    if inputs.pages_path is not None:
-        landed = pg.read_pages(spark, inputs.pages_path)
-        if check_pages:
-            pg.require_complete(landed)
-        raw = pg.flatten_pages(landed)
-        bronze = pg.bronze_records(raw, cfg, as_of, dedupe=True)
-    elif inputs.records is not None:
-        bronze = pg.bronze_records(inputs.records, cfg, as_of, dedupe=True)
-    else:
-        raise ValueError("refresh needs records or a pages path")
-    counts["bronze"] = tb.write_table(bronze, t("bronze", "fuel_prices_raw"), evolve="reconcile",
-                                      partition_by=["period"])
-
-    slv = silver.silver_prices(spark.table(t("bronze", "fuel_prices_raw")), cfg)
-    counts["silver"] = tb.write_table(slv, t("silver", "fuel_prices"), evolve="reconcile",
-                                      partition_by=["product"])
-
-    src = spark.table(t("silver", "fuel_prices"))
-    counts["weekly"] = tb.write_table(series.weekly_summary(src, cfg),
-                                      t("gold", "weekly_fuel_summary"), evolve="reconcile")
-    counts["regional"] = tb.write_table(series.regional_comparison(src, cfg),
-                                        t("gold", "regional_comparison"), evolve="reconcile")
-
-    weekly = spark.table(t("gold", "weekly_fuel_summary"))
-    if model == "additive":
-        forecast = fc.additive_forecast(weekly, cfg)
-    elif model == "linear_seasonal":
-        forecast = fc.linear_seasonal_forecast(weekly, cfg)
+    steps = refresh_steps(spark, inputs, cfg, as_of, model, check_pages)
+    if ledger is None:
+        counts = {step.name: step.run() for step in steps}
     else:
-        raise ValueError(f"unknown forecast model: {model}")
-    counts["forecast"] = tb.write_table(forecast, t("gold", "fuel_price_forecast"), evolve="reconcile")
-
-    zones = tb.require_zone_columns(inputs.zones).select(*tb.ZONE_COLUMNS)
-    counts["zones"] = tb.write_table(zones, t("gold", "delivery_zones"), evolve=True)
-    config = inputs.surcharge_config or tb.surcharge_config_frame(spark)
-    counts["surcharge_config"] = tb.write_table(config, t("gold", "surcharge_config"), evolve="reconcile")
-
+        source = inputs.records if inputs.pages_path is None else pg.read_pages(spark, inputs.pages_path)
+        config = inputs.surcharge_config or tb.surcharge_config_frame(spark)
+        counts = StepLedger(spark, ledger).run(steps, {
+            "source": content_version(source), "zones_in": content_version(inputs.zones),
+            "config_in": content_version(config)})
     spark.sql(margin_view_sql(cfg))
     return counts
