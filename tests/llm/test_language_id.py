@@ -61,7 +61,7 @@ def test_words_and_slices():
     assert words.to_pylist() == ["ab", "cd", "e", "x" * LONGEST, "x" * LONGEST, "xxx", "éà"]
     assert counts.tolist() == [3, 0, 0, 0, 3, 1]
     assert sum(n for _, n in row_slices(texts, 5)) == len(texts)
-    assert [*row_slices(pa.array([], pa.string()))] == []
+    assert [*row_slices(pa.array([], pa.string()), 5)] == []
 
 
 def test_held_out_rows(spark):
