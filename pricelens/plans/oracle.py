@@ -9,7 +9,10 @@ chain.  Rounded columns use the same exact rule as the engine:
 
 from __future__ import annotations
 
+import math
+
 from pricelens import config as C
+from pricelens.operators import aggregated_fit as AF
 from pricelens.operators.forecast import Z80
 from pricelens.sources.adapter import (
     NATIONAL_AREA_NAME,
@@ -295,6 +298,28 @@ MEAN_SQL = (f"(SELECT COALESCE(CAST(SUM(TRY_CAST(price_per_gallon AS DECIMAL(24,
             f" AS avg_price FROM diesel_latest)")
 
 
+def gram_sql() -> str:
+    """Sums of feature products of the aggregated fit, in whole millionths."""
+    turns = [repr(2.0 * math.pi * k / AF.YEAR_DAYS) + "::DOUBLE * d" for k in range(1, AF.YEARLY_ORDER + 1)]
+    hinges = [f"greatest(t - {c}, 0)" for c in AF.changepoint_units()]
+    waves = [f"CAST(floor({f}({x}) * 1e6::DOUBLE + 0.5::DOUBLE) AS BIGINT)" for f in ("sin", "cos") for x in turns]
+    z = ", ".join(["1000000", "t", *hinges, *waves, "yu"])
+    return f"""
+      SELECT product, i, j, CAST(SUM(CAST(z[i + 1] AS HUGEINT) * z[j + 1]) AS VARCHAR) AS total
+      FROM (
+        SELECT product, [{z}]::BIGINT[] AS z
+        FROM (SELECT product, CAST(price_date - DATE '1970-01-01' AS DOUBLE) AS d,
+                     CAST(floor(CAST(price_date - lo AS DOUBLE) / span * 1e6::DOUBLE + 0.5::DOUBLE) AS BIGINT) AS t,
+                     CAST(floor(y / top * 1e6::DOUBLE + 0.5::DOUBLE) AS BIGINT) AS yu
+              FROM fh JOIN (SELECT product, min(price_date) AS lo, max(abs(y)) AS top,
+                                   CAST(greatest(max(price_date) - min(price_date), 1) AS DOUBLE) AS span
+                            FROM fh GROUP BY product) USING (product)
+              WHERE y IS NOT NULL)),
+        (SELECT CAST(range AS INTEGER) AS i FROM range({AF.WIDTH})),
+        (SELECT CAST(range AS INTEGER) AS j FROM range({AF.WIDTH}))
+      WHERE i <= j GROUP BY product, i, j"""
+
+
 def oracle_queries(test_baseline: float, test_rate: float) -> dict[str, str]:
     from pricelens.config import Fleet
     fleet = Fleet()
@@ -451,6 +476,9 @@ def oracle_queries(test_baseline: float, test_rate: float) -> dict[str, str]:
       SELECT * FROM fcast WHERE price_date >=
         (SELECT MAX(price_date) FROM fcast WHERE actual_price IS NOT NULL) - {C.FORECAST_RECENT_DAYS}""")
     q["forecast_window"] = with_chain("SELECT * FROM fwin")
+    q["trends_sql"], q["regional_sql"] = q["trends"], q["regional_latest"]
+    q["forecast_window_sql"] = q["forecast_window"]
+    q["forecast_gram"] = with_chain(gram_sql())
     q["forecast_bridge"] = with_chain("SELECT * FROM fbridge")
     above = f"(CASE WHEN price IS NULL THEN NULL ELSE GREATEST(0.0e0, price - {_f(test_baseline)}) END)"
     q["surcharge_series"] = with_chain(f"""

@@ -24,6 +24,7 @@ from pricelens.config import (
     UI_RATE,
 )
 from pricelens.functions.numeric import round_exact
+from pricelens.operators import aggregated_fit as af
 from pricelens.operators import forecast as fc
 from pricelens.operators import margins as mg
 from pricelens.operators import reads as rd
@@ -32,6 +33,7 @@ from pricelens.operators import silver as sv
 from pricelens.operators import surcharge as sc
 from pricelens.plans.layers import Layers
 from pricelens.plans.incremental import GOLD, IncrementalLayers
+from pricelens.plans.sql_reads import register_sql_reads
 from pricelens.session import materialize, scratch_path
 from pricelens.sources import loads as ld
 from pricelens.sources import pages as pg
@@ -379,5 +381,52 @@ def _surcharge_totals(lay: Layers) -> DataFrame:
     return sc.scenario_totals(_baseline(lay), lay.cfg.fleet, baseline_cents=TEST_BASELINE_GRID_CENTS)
 
 
+# --- model fitted by aggregation ---------------------------------------------
+
+@register("forecast_gram", "forecast")
+def _forecast_gram(lay: Layers) -> DataFrame:
+    """Exact sums behind the aggregated fit, per series and feature pair."""
+    hist = materialize(af.dated_history(lay.weekly, lay.cfg))
+    sums = af.gram_sums(hist, af.series_frame(hist))
+    return sums.withColumn("total", F.col("total").cast("string"))
+
+
+@register("forecast_aggregated", "forecast")
+def _forecast_aggregated(lay: Layers) -> DataFrame:
+    return af.aggregated_forecast(lay.weekly, lay.cfg)
+
+
+@register("forecast_simulated", "forecast")
+def _forecast_simulated(lay: Layers) -> DataFrame:
+    return af.aggregated_forecast(lay.weekly, lay.cfg, simulate=True)
+
+
+# --- SQL table functions -------------------------------------------------------
+
+def _view(rows: DataFrame) -> str:
+    name = f"reads_{uuid.uuid4().hex}"
+    rows.createOrReplaceTempView(name)
+    return name
+
+
+@register("trends_sql", "national")
+def _trends_sql(lay: Layers) -> DataFrame:
+    register_sql_reads(lay.spark, weekly=_view(lay.weekly), cfg=lay.cfg)
+    return lay.spark.sql("SELECT * FROM price_trends(:product, :weeks)",
+                         args={"product": "EPMR", "weeks": DEFAULT_TREND_WEEKS})
+
+
+@register("regional_sql", "regional")
+def _regional_sql(lay: Layers) -> DataFrame:
+    register_sql_reads(lay.spark, regional=_view(lay.regional), cfg=lay.cfg)
+    return lay.spark.sql("SELECT * FROM price_regional(:product)", args={"product": lay.cfg.diesel_product})
+
+
+@register("forecast_window_sql", "forecast")
+def _forecast_window_sql(lay: Layers) -> DataFrame:
+    register_sql_reads(lay.spark, forecast=_view(_baseline(lay)), cfg=lay.cfg)
+    return lay.spark.sql("SELECT * FROM price_forecast_latest(:product)", args={"product": lay.cfg.diesel_product})
+
+
 def all_queries() -> dict[str, Query]:
     return dict(_REGISTRY)

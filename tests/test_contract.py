@@ -24,8 +24,8 @@ def test_entry_runs_with_stable_schema(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle_except_the_model():
-    assert set(QUERIES) - set(SQL) == {"forecast_additive"}
+def test_every_query_has_an_oracle_except_the_models():
+    assert set(QUERIES) - set(SQL) == {"forecast_additive", "forecast_aggregated", "forecast_simulated"}
     assert set(SQL) <= set(QUERIES) <= set(E.queries())
 
 
@@ -41,8 +41,9 @@ def test_query_matches_oracle(spark, con, name):
     assert compare(name, sdf, odf) is None
 
 
-def test_model_query_rows(spark):
-    df = QUERIES["forecast_additive"](spark, SF_SMALL)
+@pytest.mark.parametrize("name", ["forecast_additive", "forecast_aggregated", "forecast_simulated"])
+def test_model_query_rows(spark, name):
+    df = QUERIES[name](spark, SF_SMALL)
     base = QUERIES["forecast_linear_seasonal"](spark, SF_SMALL)
     assert df.count() == base.count() > 0
     assert isinstance(duckdb.__version__, str)
