@@ -7,7 +7,8 @@
    block's distinct words that fall into one hash bucket.  Both are written
    once, packed.
 2. Word rows are dealt by bucket, so every copy of a word meets in one task,
-   which merges each distinct word once.
+   which merges each distinct word once (again only where a task has seen more
+   than ``KNOWN_WORDS`` of them since: its table is bounded).
 3. Ids return to their block, are put back by position, and are decoded by a
    lookup join with the id-to-piece table.
 
@@ -45,6 +46,7 @@ from pricelens.llm.common import lanes, table, written
 
 BLOCK_WORDS = 4_000_000
 OUT_TOKENS = 1_000_000
+KNOWN_WORDS = 500_000
 # letters whose normal form is themselves, then ASCII signs: the usual word, without the full pattern
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 SPACE = re.compile(r"[\t-\r \x85\xa0  -     　]+")
@@ -204,10 +206,14 @@ def number_words(spec, id_type: pa.DataType, block_words: int, n_buckets: int):
 
 def encode_words(spec):
     """Word rows of a task's buckets -> (block, bucket, counts and ids packed);
-    each distinct word of a bucket is merged once."""
+    each distinct word of a bucket is merged once while KNOWN_WORDS hold all of
+    them; beyond that the table starts anew, so its size does not follow the
+    input and only repeated work, never a result, depends on it."""
     def run(batches):
         bpe, known = WordBpe(spec.value), {}
         for batch in batches:
+            if len(known) > KNOWN_WORDS:
+                known.clear()
             sizes, ids = [], []
             for blob in batch.column("words").to_pylist():
                 raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)

@@ -132,9 +132,9 @@ def best_fit(sizes: list[int], rooms: list[int], grow: int | None = None) -> lis
 
 
 def level_fit(sizes: list[int], used: list[int]) -> list[int]:
-    """Best fit into len(used) bins that already hold ``used``, with the least
-    common capacity found by trying growing ones; a bin above the capacity
-    takes nothing."""
+    """Best fit into len(used) bins that already hold ``used``, with a common
+    capacity: the first that fits among the water level and growing steps above
+    it (not always the least); a bin above the capacity takes nothing."""
     if not sizes:
         return []
     total, bins = sum(sizes), len(used)

@@ -61,6 +61,21 @@ class PuModel:
         return float(1 / (1 + np.exp(-np.clip(self.weights[at[hit]].sum() + self.bias, -30, 30))))
 
 
+def pu_risk(w: np.ndarray, b: float, xp: np.ndarray, xu: np.ndarray, prior: float) -> tuple[float, np.ndarray]:
+    """Non-negative risk of logistic losses and its gradient (weights, then
+    bias): the share of unlabelled rows that the prior leaves to label 0 counts
+    only while its estimate is not below zero."""
+    n_p, n_u = len(xp), len(xu)
+    sp, su = 1 / (1 + np.exp(-(xp @ w + b))), 1 / (1 + np.exp(-(xu @ w + b)))
+    # logistic losses: l(+) has slope s - 1, l(-) has slope s
+    gp_plus = np.append(xp.T @ (sp - 1), (sp - 1).sum()) / n_p
+    gp_minus = np.append(xp.T @ sp, sp.sum()) / n_p
+    gu_minus = np.append(xu.T @ su, su.sum()) / n_u
+    negative = -np.log1p(-np.minimum(su, 1 - 1e-12)).mean() + prior * np.log1p(-np.minimum(sp, 1 - 1e-12)).mean()
+    risk = -prior * np.log(np.maximum(sp, 1e-12)).mean() + max(0.0, negative)
+    return float(risk), prior * gp_plus + (gu_minus - prior * gp_minus if negative >= 0 else 0)
+
+
 def fit_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> PuModel:
     n_p, n_u = len(positive), len(unlabelled)
     words, n = np.unique(np.concatenate(positive), return_counts=True)
@@ -85,13 +100,7 @@ def fit_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: floa
     w, b = np.zeros(len(words)), -2.0
     m, v = np.zeros(len(words) + 1), np.zeros(len(words) + 1)
     for step in range(1, EPOCHS + 1):
-        sp, su = 1 / (1 + np.exp(-(xp @ w + b))), 1 / (1 + np.exp(-(xu @ w + b)))
-        # logistic losses: l(+) has slope s - 1, l(-) has slope s
-        gp_plus = np.append(xp.T @ (sp - 1), (sp - 1).sum()) / n_p
-        gp_minus = np.append(xp.T @ sp, sp.sum()) / n_p
-        gu_minus = np.append(xu.T @ su, su.sum()) / n_u
-        negative = -np.log1p(-np.minimum(su, 1 - 1e-12)).mean() + prior * np.log1p(-np.minimum(sp, 1 - 1e-12)).mean()
-        grad = prior * gp_plus + (gu_minus - prior * gp_minus if negative >= 0 else 0)
+        grad = pu_risk(w, b, xp, xu, prior)[1]
         grad[:-1] += DECAY * w
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad * grad

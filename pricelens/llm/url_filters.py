@@ -104,7 +104,7 @@ def url_filter(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
 
 
 def op10_url_filters(spark, sf_dir) -> DataFrame:
-    rules = spark.createDataFrame(list(QUERY_RULES), "host string, path string, verdict string")
+    rules = spark.sql(f"VALUES {', '.join(map(str, QUERY_RULES))} AS r(host, path, verdict)")
     return url_filter(table(spark, sf_dir, "pages", "page_id", "url"), rules)
 
 
